@@ -15,13 +15,10 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed values. Java's \w and \s know ASCII only; these classes cover all of Unicode
-# (letters, numbers and underscore; every code point counted as white space).
+# Fixed values. Without the (?U) flag \s knows ASCII only; with it the class holds every code
+# point of white space. A word character is any letter, number or underscore.
 WORD = r"\p{L}\p{N}_"
-SPACE = (
-    r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-)
+SPACE = r"\s\x1c-\x1f"
 START_MARKER = "*** START"
 END_MARKER = "*** END"
 
@@ -33,7 +30,8 @@ def lines(text: Column) -> Column:
 
 def raw_tokens(text: Column) -> Column:
     """Tokens between single spaces, line by line; empty tokens are kept."""
-    return F.split(text, "[ \n]")
+    # Splitting on one plain character avoids the regular expression engine.
+    return F.split(F.replace(text, F.lit("\n"), F.lit(" ")), " ")
 
 
 def clean_token(token: Column) -> Column:
@@ -42,18 +40,19 @@ def clean_token(token: Column) -> Column:
 
 
 def clean_tokens(text: Column) -> Column:
-    """All of ``raw_tokens`` after ``clean_token``; at most the first and last are empty."""
-    return F.split(F.regexp_replace(F.lower(text), f"[^{WORD} \n]+", ""), "[ \n]+")
+    """All of ``raw_tokens`` after ``clean_token``; may contain empty ones."""
+    return raw_tokens(F.regexp_replace(F.lower(text), f"[^{WORD} \n]+", ""))
 
 
 def white_space_tokens(text: Column) -> Column:
     """Tokens between runs of white space, none empty."""
-    return F.array_remove(F.split(text, f"[{SPACE}]+"), "")
+    return F.array_remove(F.split(text, f"(?U)[{SPACE}]+"), "")
 
 
 def clean_line_words(line: Column, stop_words: Iterable[str] = ()) -> Column:
     """Cleaned words of a line (white-space tokeniser), without stop words."""
-    tokens = F.split(F.regexp_replace(F.lower(line), f"[^{WORD}{SPACE}]+", ""), f"[{SPACE}]+")
+    cleaned = F.regexp_replace(F.lower(line), f"(?U)[^{WORD}{SPACE}]+", "")
+    tokens = F.split(cleaned, f"(?U)[{SPACE}]+")
     dropped = ["", *stop_words]
     return F.filter(tokens, lambda word: ~word.isin(dropped))
 

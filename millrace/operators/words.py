@@ -163,7 +163,10 @@ def multiset_difference(first: DataFrame, second: DataFrame) -> DataFrame:
 
 def clean_lines(lines: DataFrame, line: str = "value", stop_words: Iterable[str] = ENGLISH) -> DataFrame:
     """Cleaned lines, one per message that has a word left; works on a stream."""
-    return lines.select(t.clean_line(F.col(line), stop_words).alias("value")).where("value <> ''")
+    cleaned = F.array(t.clean_line(F.col(line), stop_words))
+    # A where() on the cleaned column would be pushed below it and clean every line twice;
+    # exploding a list of no or one line does not.
+    return lines.select(F.explode(F.filter(cleaned, lambda text: text != "")).alias("value"))
 
 
 def clean_lines_summary(

@@ -12,10 +12,9 @@ from millrace.functions.stopwords import ENGLISH
 from millrace.operators import edits as e
 from millrace.operators import service
 from millrace.operators import words as w
-from millrace.plans.sql import half_up, quoted
+from millrace.plans.sql import SPACE, half_up, quoted
 from millrace.sources import scratch, tables, topics
 from millrace.streaming import run
-from millrace.functions.text import SPACE
 
 TIMEOUT = 3600
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from millrace.functions import text as t
 from millrace.functions.stopwords import BY_LANGUAGE, ENGLISH, FRENCH
 from millrace.operators import words as w
-from millrace.plans.sql import quoted
+from millrace.plans.sql import SPACE, quoted
 from millrace.sources import tables
 
 NAMES = ("de", "la", "en", "on", "ou", "re")
@@ -157,7 +157,7 @@ _SHARED = (
 _CLEAN_LINES = rf"""WITH lines AS (SELECT unnest(string_split(text, chr(10))) AS line FROM documents),
 listed AS (
     SELECT list_filter(
-        list_transform(regexp_split_to_array(lower(line), '[{t.SPACE}]+'),
+        list_transform(regexp_split_to_array(lower(line), '[{SPACE}]+'),
                        lambda x: regexp_replace(x, '[^\p{{L}}\p{{N}}_]', '', 'g')),
         lambda x: x <> '' AND NOT list_contains([{quoted(ENGLISH)}], x)) AS words
     FROM lines)
@@ -198,7 +198,7 @@ ORACLE = {
     "language_stats": _CLEANED
     + rf""", sizes AS (
             SELECT lang, CAST(sum(len(string_split(text, chr(10)))) AS BIGINT) AS lines,
-                   CAST(sum(len(list_filter(regexp_split_to_array(text, '[{t.SPACE}]+'),
+                   CAST(sum(len(list_filter(regexp_split_to_array(text, '[{SPACE}]+'),
                                             lambda x: x <> ''))) AS BIGINT) AS tokens
             FROM documents GROUP BY lang),
         vocabulary AS (

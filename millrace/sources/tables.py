@@ -12,7 +12,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.sources import scratch
+from millrace.sources import layout, scratch
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -95,7 +95,7 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents")
+    return layout.spread(table(spark, sf_dir, "documents"), "doc_id")
 
 
 def books(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,7 +147,7 @@ def as_messages(events: DataFrame, damaged: bool = False) -> DataFrame:
 
 def edit_messages(spark: SparkSession, sf_dir: str, stream: bool = False, damaged: bool = False) -> DataFrame:
     events = (table_stream if stream else table)(spark, sf_dir, "events")
-    return as_messages(events, damaged)
+    return as_messages(layout.spread(events, "event_id"), damaged)
 
 
 # --- service log ----------------------------------------------------------------------------
