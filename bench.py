@@ -29,6 +29,7 @@ HEADLINE = (
     "trips_with_boroughs",
     "trips_quality",
     "trips_extremes",
+    "trips_extremes_time",
     "trips_describe",
     "pickups_by_borough",
     "period_by_borough",

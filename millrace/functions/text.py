@@ -28,6 +28,11 @@ def lines(text: Column) -> Column:
     return F.split(text, "\n")
 
 
+def line_count(text: Column) -> Column:
+    """Number of lines, without building them."""
+    return F.length(text) - F.length(F.replace(text, F.lit("\n"))) + 1
+
+
 def raw_tokens(text: Column) -> Column:
     """Tokens between single spaces, line by line; empty tokens are kept."""
     # Splitting on one plain character avoids the regular expression engine.

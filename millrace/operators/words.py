@@ -102,21 +102,32 @@ def mean_by_key(rows: DataFrame, key: str, value: str) -> DataFrame:
 def language_stats(
     documents: DataFrame, stop_words: Mapping[str, Iterable[str]], text: str = "text", language: str = "lang"
 ) -> DataFrame:
-    """Lines, white-space tokens and distinct cleaned words per language.
+    """Lines, white-space tokens and distinct cleaned words per language, from one pass over the text.
 
-    Line and token totals need no shuffle of words. Distinct words are counted by grouping on
-    (language, word) first, so no task holds the vocabulary of a language.
+    The size of a text rides on its first word. Grouping on (language, word) first means no task
+    holds the vocabulary of a language.
     """
     body = F.col(text)
-    sizes = documents.groupBy(language).agg(
-        F.sum(F.size(t.lines(body))).alias("lines"),
-        F.sum(F.size(t.white_space_tokens(body))).alias("tokens"),
+    # Sizes are computed in a step of their own, below the explode: beside it they would be
+    # worked out again for every word.
+    sized = documents.select(
+        language,
+        text,
+        t.line_count(body).alias("lines"),
+        F.size(t.white_space_tokens(body)).alias("tokens"),
     )
-    found = words(documents, text, (), [language]).distinct()
+    exploded = sized.select(language, "lines", "tokens", F.posexplode(t.clean_tokens(body)).alias("pos", "word"))
+
+    def once(size: str) -> Column:
+        return F.sum(F.when(F.col("pos") == 0, F.col(size)).otherwise(0))
+
+    vocabulary = exploded.groupBy(language, "word").agg(once("lines").alias("lines"), once("tokens").alias("tokens"))
+    counted = F.col("word") != ""
     for lang, listed in stop_words.items():
-        found = found.where(~((F.col(language) == lang) & F.col("word").isin(list(listed))))
-    vocabulary = found.groupBy(language).agg(F.count("*").alias("distinct_words"))
-    return sizes.join(vocabulary, language, "left").fillna(0, ["distinct_words"])
+        counted = counted & ~((F.col(language) == lang) & F.col("word").isin(list(listed)))
+    return vocabulary.groupBy(language).agg(
+        F.sum("lines").alias("lines"), F.sum("tokens").alias("tokens"), F.count_if(counted).alias("distinct_words")
+    )
 
 
 def strip_boilerplate(documents: DataFrame, text: str = "text") -> DataFrame:

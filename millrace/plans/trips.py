@@ -10,6 +10,8 @@ from millrace.sources import files, scratch, tables
 
 KEYS = ["order_key", "line_number"]
 TIMES = [tr.PICKUP, tr.DROPOFF]
+AMOUNT_COLUMNS = [*KEYS, "passenger_count", "trip_distance", "extra", "fare_amount", "total_amount"]
+TIME_COLUMNS = [*KEYS, *TIMES, "trip_distance", "duration_min"]
 YEAR_1, YEAR_2 = ("1996-01-01", "1997-01-01"), ("2000-01-01", "2001-01-01")
 # The stand-in trips cost more and last longer than taxi rides; same shape of bands.
 BANDS = {"fare_amount": (0, 50000), "trip_distance": (0, 40), "duration_min": (0, 1440 * 365)}
@@ -62,9 +64,13 @@ def trips_shortest_positive(spark, sf):
 
 
 def trips_extremes(spark, sf):
-    return tr.extremes(
-        _timed(spark, sf, "passenger_count", "trip_distance", "extra", "fare_amount", "total_amount"), KEYS
-    )
+    """Extremes of what a line knows by itself: no join."""
+    return tr.extremes(tables.trips(spark, sf, AMOUNT_COLUMNS), AMOUNT_COLUMNS, tr.AMOUNT_QUESTIONS)
+
+
+def trips_extremes_time(spark, sf):
+    """Extremes of the duration; both questions share the shuffle that finds the pick-up time."""
+    return tr.extremes(_timed(spark, sf, "trip_distance"), TIME_COLUMNS, tr.TIME_QUESTIONS)
 
 
 def passenger_stats(spark, sf):
@@ -188,6 +194,7 @@ QUERIES = {
         trips_in_period,
         trips_shortest_positive,
         trips_extremes,
+        trips_extremes_time,
         passenger_stats,
         trips_per_day,
         trips_per_hour,
@@ -240,14 +247,9 @@ boroughs AS (
 days AS (SELECT CAST(tpep_pickup_datetime AS DATE) AS day, count(*) AS n_trips FROM trips GROUP BY ALL),
 hours AS (SELECT CAST(hour(ts) AS INTEGER) AS hour, count(*) AS n_trips FROM events GROUP BY ALL)
 """
-_EXTREME = (
-    "order_key, line_number, tpep_pickup_datetime, tpep_dropoff_datetime, passenger_count, trip_distance,"
-    " duration_min, extra, fare_amount, total_amount"
-)
-
-
-def _extreme(question, by, k, where="true"):
-    return f"(SELECT {_EXTREME}, '{question}' AS question FROM trips WHERE {where} ORDER BY {by}, {_EXTREME} LIMIT {k})"
+def _extreme(columns, question, by, k, where="true"):
+    shown = ", ".join(columns)
+    return f"(SELECT {shown}, '{question}' AS question FROM trips WHERE {where} ORDER BY {by}, {shown} LIMIT {k})"
 
 
 def _ranked(source, key):
@@ -294,13 +296,18 @@ ORACLE = {
     "trips_extremes": _TRIPS
     + " UNION ALL ".join(
         [
-            _extreme("most passengers", "passenger_count DESC NULLS LAST", 5),
-            _extreme("shortest distance", "trip_distance NULLS FIRST", 3),
-            _extreme("longest distance", "trip_distance DESC NULLS LAST", 3),
-            _extreme("shortest distance above zero", "trip_distance", 3, "trip_distance > 0"),
-            _extreme("shortest time", "duration_min NULLS FIRST", 3),
-            _extreme("longest time", "duration_min DESC NULLS LAST", 3),
-            _extreme("highest extra", "extra DESC NULLS LAST", 3),
+            _extreme(AMOUNT_COLUMNS, "most passengers", "passenger_count DESC NULLS LAST", 5),
+            _extreme(AMOUNT_COLUMNS, "shortest distance", "trip_distance NULLS FIRST", 3),
+            _extreme(AMOUNT_COLUMNS, "longest distance", "trip_distance DESC NULLS LAST", 3),
+            _extreme(AMOUNT_COLUMNS, "shortest distance above zero", "trip_distance", 3, "trip_distance > 0"),
+            _extreme(AMOUNT_COLUMNS, "highest extra", "extra DESC NULLS LAST", 3),
+        ]
+    ),
+    "trips_extremes_time": _TRIPS
+    + " UNION ALL ".join(
+        [
+            _extreme(TIME_COLUMNS, "shortest time", "duration_min NULLS FIRST", 3),
+            _extreme(TIME_COLUMNS, "longest time", "duration_min DESC NULLS LAST", 3),
         ]
     ),
     "passenger_stats": _TRIPS
