@@ -1,4 +1,4 @@
-"""Time the headline queries: whole result to the no-op sink, one warm-up, median of the runs.
+"""Time the headline queries: whole result to the no-op sink, one warm-up round, median of the others.
 
 Prints one JSON line. Environment: BENCH_SF_DIR, BENCH_CPUS, BENCH_RUNS.
 """
@@ -71,13 +71,15 @@ def quality_by_separate_counts(spark, sf_dir: str) -> None:
     tr.in_period(trips, *YEAR_1).count()
 
 
-def median_time(run, runs: int) -> float:
-    times = []
+def median_times(jobs: dict, runs: int) -> dict[str, float]:
+    """Run all jobs in rounds, so that all of them meet the JVM equally warm; the first round does not count."""
+    times = {name: [] for name in jobs}
     for _ in range(runs + 1):
-        start = time.perf_counter()
-        run()
-        times.append(time.perf_counter() - start)
-    return statistics.median(times[1:])
+        for name, job in jobs.items():
+            start = time.perf_counter()
+            job()
+            times[name].append(time.perf_counter() - start)
+    return {name: statistics.median(taken[1:]) for name, taken in times.items()}
 
 
 def main() -> None:
@@ -92,10 +94,9 @@ def main() -> None:
         spark__ui__showConsoleProgress="false",
     )
     spark.sparkContext.setLogLevel("ERROR")
-    seconds = {
-        name: median_time(lambda query=QUERIES[name]: to_nowhere(query(spark, sf_dir)), runs) for name in HEADLINE
-    }
-    seconds["trips_quality_separate_counts"] = median_time(lambda: quality_by_separate_counts(spark, sf_dir), runs)
+    jobs = {name: lambda query=QUERIES[name]: to_nowhere(query(spark, sf_dir)) for name in HEADLINE}
+    jobs["trips_quality_separate_counts"] = lambda: quality_by_separate_counts(spark, sf_dir)
+    seconds = median_times(jobs, runs)
     scale = re.search(r"sf([\d.]+)$", sf_dir)
     print(
         json.dumps(
