@@ -26,6 +26,11 @@ def _with_boroughs(spark, sf, *columns, ends=("PU", "DO")):
     return b.with_boroughs(trips, tables.zones(spark, sf), ends)
 
 
+def _counts_with_boroughs(spark, sf, *columns, end):
+    counts = tables.trip_counts(spark, sf, [*columns, f"{end}LocationID"])
+    return b.with_boroughs(counts, tables.zones(spark, sf), [end])
+
+
 def _rides_with_boroughs(spark, sf):
     return b.with_boroughs(tables.rides(spark, sf, zones=True), tables.zones(spark, sf), ["PU"])
 
@@ -78,7 +83,7 @@ def passenger_stats(spark, sf):
 
 
 def trips_per_day(spark, sf):
-    return tr.per_day(tables.trips(spark, sf, [tr.PICKUP]))
+    return tr.per_day(tables.trip_counts(spark, sf, [tr.PICKUP]))
 
 
 def trips_per_hour(spark, sf):
@@ -90,7 +95,7 @@ def period_of_day(spark, sf):
 
 
 def trips_by_season(spark, sf):
-    return tr.per_season(tables.trips(spark, sf, [tr.PICKUP]))
+    return tr.per_season(tables.trip_counts(spark, sf, [tr.PICKUP]))
 
 
 def busiest_days(spark, sf):
@@ -102,7 +107,7 @@ def busiest_hours(spark, sf):
 
 
 def weekday_average(spark, sf):
-    return tr.weekday_average(tables.trips(spark, sf, [tr.PICKUP]))
+    return tr.weekday_average(tables.trip_counts(spark, sf, [tr.PICKUP]))
 
 
 def tip_by_payment(spark, sf):
@@ -132,11 +137,11 @@ def trips_with_boroughs(spark, sf):
 
 
 def pickups_by_borough(spark, sf):
-    return b.pickups(_with_boroughs(spark, sf, ends=["PU"]))
+    return b.pickups(_counts_with_boroughs(spark, sf, end="PU"))
 
 
 def dropoffs_by_borough(spark, sf):
-    return b.dropoffs(_with_boroughs(spark, sf, ends=["DO"]))
+    return b.dropoffs(_counts_with_boroughs(spark, sf, end="DO"))
 
 
 def borough_shares(spark, sf):
@@ -148,12 +153,12 @@ def period_by_borough(spark, sf):
 
 
 def weekday_by_borough(spark, sf):
-    return b.by_weekday(_with_boroughs(spark, sf, tr.PICKUP, ends=["PU"]))
+    return b.by_weekday(_counts_with_boroughs(spark, sf, tr.PICKUP, end="PU"))
 
 
 def weekday_by_borough_all_days(spark, sf):
     """The same mean over every day of the data, days without trips included."""
-    return b.by_weekday(_with_boroughs(spark, sf, tr.PICKUP, ends=["PU"]), zero_fill=True)
+    return b.by_weekday(_counts_with_boroughs(spark, sf, tr.PICKUP, end="PU"), zero_fill=True)
 
 
 def borough_averages(spark, sf):

@@ -49,14 +49,12 @@ _SUPPLIER = {"DOLocationID": "s_nationkey"}
 TRIP_VIEW = {**_LINE, **_ORDER, **_CUSTOMER, **_SUPPLIER}
 
 
-def trips(spark: SparkSession, sf_dir: str, columns: Iterable[str] = tuple(TRIP_VIEW)) -> DataFrame:
-    """The trip view, joining only the tables the columns need.
+def _with_ends(rows: DataFrame, spark: SparkSession, sf_dir: str, columns: list[str]) -> DataFrame:
+    """Join to line rows the tables the columns need.
 
-    Every join is a left join from the line, so the rows are those of ``lineitem`` whatever
-    the columns. Order and customer meet before the larger line table is shuffled.
+    Every join is a left join from the line, so the rows stay those of ``rows`` whatever the
+    columns. Order and customer meet before the larger side is shuffled.
     """
-    columns = list(columns)
-    rows = table(spark, sf_dir, "lineitem")
     if any(name in _CUSTOMER for name in columns):
         orders = table(spark, sf_dir, "orders").join(
             table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"), "left"
@@ -66,9 +64,33 @@ def trips(spark: SparkSession, sf_dir: str, columns: Iterable[str] = tuple(TRIP_
         rows = rows.join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"), "left")
     if any(name in _SUPPLIER for name in columns):
         rows = rows.join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"), "left")
+    return rows
+
+
+def trips(spark: SparkSession, sf_dir: str, columns: Iterable[str] = tuple(TRIP_VIEW)) -> DataFrame:
+    """The trip view, one row per order line."""
+    columns = list(columns)
+    rows = _with_ends(table(spark, sf_dir, "lineitem"), spark, sf_dir, columns)
     return rows.selectExpr(*[f"{TRIP_VIEW[name]} as {name}" for name in columns])
 
 
+def trip_counts(spark: SparkSession, sf_dir: str, columns: Iterable[str]) -> DataFrame:
+    """The trip view counted per order or supplier (``n_trips``), for questions that only count.
+
+    Lines are added up before the join: an order with a third of all lines is one row per task
+    when it is shuffled, and the join finds the rows where the count has put them.
+    """
+    columns = list(columns)
+    keys = [
+        key
+        for key, names in (("l_orderkey", {**_ORDER, **_CUSTOMER}), ("l_suppkey", _SUPPLIER))
+        if any(name in names for name in columns)
+    ]
+    counted = table(spark, sf_dir, "lineitem").groupBy(*keys).agg(F.count("*").alias("n_trips"))
+    rows = _with_ends(counted, spark, sf_dir, columns)
+    return rows.selectExpr(*[f"{TRIP_VIEW[name]} as {name}" for name in columns], "n_trips")
+
+
 def rides(spark: SparkSession, sf_dir: str, zones: bool = False) -> DataFrame:
     """Events as trips for questions about the hour, which order dates lack.
 

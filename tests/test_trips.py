@@ -208,6 +208,17 @@ def test_scan_reads_needed_columns_only(spark, sf_dir):
     assert "ReadSchema: struct<l_linenumber:int>" in plan(plans.passenger_stats(spark, sf_dir))
 
 
+def test_count_and_join_share_a_shuffle(spark, sf_dir):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(plans.trips_per_day(spark, sf_dir))
+        # Lines by order, orders by order, result by day.
+        assert text.count("Exchange hashpartitioning") == 3
+        assert "partial_count(1)" in text.split("SortMergeJoin")[1]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_quality_is_one_pass(spark, sf_dir):
     assert plan(plans.trips_quality(spark, sf_dir)).count("FileScan parquet") == 2
 
@@ -238,6 +249,10 @@ def test_hot_order_is_split(spark, tmp_path):
         result = tr.per_day(tables.trips(spark, str(tmp_path), [tr.PICKUP]))
         assert rows(result) == [(date(2019, 1, 1), n)]
         assert "skew=true" in plan(result)
+        # Counted before the join there is nothing left to split.
+        counted = tr.per_day(tables.trip_counts(spark, str(tmp_path), [tr.PICKUP]))
+        assert rows(counted) == [(date(2019, 1, 1), n)]
+        assert "skew=true" not in plan(counted)
     finally:
         for key, value in before.items():
             if value is None:
