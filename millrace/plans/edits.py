@@ -146,8 +146,7 @@ def active_users_stream(spark, sf):
 
 def stream_clean_lines(spark, sf):
     """Document lines as a stream, cleaned and appended to text files."""
-    documents = tables.table_stream(spark, sf, "documents")
-    lines = w.text_lines(documents, "text").select(F.col("line").alias("value"))
+    lines = w.text_lines(tables.documents(spark, sf, stream=True), "text").select(F.col("line").alias("value"))
     return run.run_to_files(w.clean_lines(lines), file_format="text", timeout=TIMEOUT)
 
 

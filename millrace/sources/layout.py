@@ -11,17 +11,20 @@ def _bytes(setting: str) -> int:
     return int(text[:-1]) * units[text[-1]] if text[-1] in units else int(text)
 
 
-def spread(rows: DataFrame, *keys: str) -> DataFrame:
+def spread(rows: DataFrame, *keys: str, like: DataFrame | None = None) -> DataFrame:
     """Use all cores for a small input that would otherwise be read by a few tasks.
 
     A scan gets one task per row group, so a small file keeps most cores idle while text is
     tokenised. Inputs with a full split for every core are left alone: their rows are never
     moved. What is moved is at most one split per core.
+
+    A stream has no size; ``like`` is the table whose size it has.
     """
-    if rows.isStreaming:
+    sized = rows if like is None else like
+    if sized.isStreaming:
         return rows
     spark = rows.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    size = int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    size = int(sized._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
     return rows.repartition(cores, *keys) if size < cores * split else rows

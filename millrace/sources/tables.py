@@ -28,6 +28,11 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str, **options) -> Data
     return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
+def _spread_table(spark: SparkSession, sf_dir: str, name: str, key: str, stream: bool) -> DataFrame:
+    stored = table(spark, sf_dir, name)
+    return layout.spread(table_stream(spark, sf_dir, name) if stream else stored, key, like=stored)
+
+
 # --- trips ----------------------------------------------------------------------------------
 
 # Columns of the trip view by the table they come from.
@@ -116,8 +121,8 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- texts ----------------------------------------------------------------------------------
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return layout.spread(table(spark, sf_dir, "documents"), "doc_id")
+def documents(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
+    return _spread_table(spark, sf_dir, "documents", "doc_id", stream)
 
 
 def books(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,8 +173,7 @@ def as_messages(events: DataFrame, damaged: bool = False) -> DataFrame:
 
 
 def edit_messages(spark: SparkSession, sf_dir: str, stream: bool = False, damaged: bool = False) -> DataFrame:
-    events = (table_stream if stream else table)(spark, sf_dir, "events")
-    return as_messages(layout.spread(events, "event_id"), damaged)
+    return as_messages(_spread_table(spark, sf_dir, "events", "event_id", stream), damaged)
 
 
 # --- service log ----------------------------------------------------------------------------
