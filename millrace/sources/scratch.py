@@ -2,29 +2,25 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from urllib.parse import urlparse
 
 from pyspark.sql import SparkSession
 
-_local_roots: dict[str, str] = {}
-
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """The folder named by ``spark.checkpoint.dir``, else one below the session's warehouse.
 
-    Only a local-mode session without that setting gets a temporary folder: on a cluster
-    such a folder exists on one machine and is lost with it.
+    A folder that was named is taken to be shared, whatever its scheme: it may be a mounted one.
+    The warehouse is only taken on a cluster when it is no local path.
     """
     root = spark.conf.get("spark.checkpoint.dir", "")
     if root:
         return root.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if urlparse(warehouse).scheme in ("", "file") and not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    if context.applicationId not in _local_roots:
-        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="millrace-")
-    return _local_roots[context.applicationId]
+    return f"{warehouse}/millrace-scratch"
 
 
 def new_path(spark: SparkSession, label: str) -> str:

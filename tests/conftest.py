@@ -12,7 +12,7 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from millrace.session import session
 
     spark = session(
@@ -21,6 +21,8 @@ def spark():
         spark__sql__shuffle__partitions="4",
         spark__ui__showConsoleProgress="false",
         spark__driver__memory="4g",
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
+        spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
     )
     spark.sparkContext.setLogLevel("ERROR")
     yield spark
