@@ -7,9 +7,7 @@ import pytest
 from conftest import SF_DIR
 
 import __spark_entry__ as entry_points
-
-QUERIES = entry_points.queries()
-ORACLE = entry_points.oracle_sql()
+from millrace.plans.registry import ORACLE, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -34,6 +32,11 @@ def test_only_ids_without_meaning_lack_sql():
     assert set(QUERIES) - set(ORACLE) == {"trips_with_id"}
 
 
+def test_entry_points_offer_all_of_them():
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(ORACLE) <= set(entry_points.oracle_sql()) <= set(entry_points.queries())
+
+
 def test_entry(spark):
     result = entry_points.entry(spark)
     assert result.columns == ["word", "n"]
