@@ -207,7 +207,7 @@ def write(pages: DataFrame, folder: str | None = None, url: str = "url", payload
             for row in batch.to_pylist():
                 if bundle is None:
                     name = f"part-{task.partitionId():06d}-{task.taskAttemptId()}-{uuid.uuid4().hex[:12]}.warc.zst"
-                    bundle = Bundle(files.open_output_stream(f"{path}/{name}"))
+                    bundle = Bundle(files.open_output_stream(f"{path}/{name}", compression=None))
                 record = make_record(
                     row["page_id"], row["url"], row["payload"].encode(), row["payload_digest"], row["revisit"], row["first"]
                 )
