@@ -25,6 +25,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.llm import common
 
@@ -289,7 +290,7 @@ def encode(
     """
     common.small_batches(docs.sparkSession)
     source = docs.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], F.col(text).cast("string").alias("text"))
-    schema = source.drop("text").schema.add("token_ids", "array<int>").add("n_tokens", "long")
+    schema = source.drop("text").schema.add("token_ids", T.ArrayType(T.IntegerType())).add("n_tokens", "long")
     if decode:
         schema = schema.add("decoded", "binary")
 
