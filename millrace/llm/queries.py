@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, warc
+from millrace.llm import bpe, quality, secrets, urls, warc
 from millrace.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -30,7 +30,22 @@ def op2_bpe(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_bpe)}
+def op4_secrets(spark, sf_dir):
+    """Secret spans of every document, weak parts where their complements are near."""
+    return secrets.scan(table(spark, sf_dir, "documents")).drop("found", "key")
+
+
+def op7_urls(spark, sf_dir):
+    """Rules and, where none fits, the language models' verdict for every page."""
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
+def op8_quality(spark, sf_dir):
+    """Base counts and verdict of every document."""
+    return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op1_warc, op2_bpe, op4_secrets, op7_urls, op8_quality)}
 
 ORACLE = {
     "op1_warc": """WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
