@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, quality, secrets, urls, warc
+from millrace.llm import ann, bpe, dedup, langid, mixing, quality, secrets, token_counts, urls, warc
 from millrace.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -30,11 +30,43 @@ def op2_bpe(spark, sf_dir):
     )
 
 
+def op3_dedup(spark, sf_dir):
+    """Near duplicates of all documents on shingles of four words."""
+    return dedup.near_duplicates(table(spark, sf_dir, "documents"), width=4).drop("text_hash")
+
+
 def op4_secrets(spark, sf_dir):
     """Secret spans of every document, weak parts where their complements are near."""
     return secrets.scan(table(spark, sf_dir, "documents")).drop("found", "key")
 
 
+def op5_mixing(spark, sf_dir):
+    """What the mix takes of every document."""
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def edits_of(doc_id, text, source):
+    """Two edits of a document: a passage in its first half is replaced by its source's name, one behind it is cut out."""
+    size = F.length(F.coalesce(text, F.lit("")))
+    start = F.pmod(F.xxhash64(doc_id), F.greatest(F.lit(1), F.floor(size / 2)))
+    name = F.concat(F.lit(" "), F.coalesce(source, F.lit("none")), F.lit("'s "))
+    return F.array(
+        F.struct(start.alias("start"), (start + 7).alias("end"), name.alias("text")),
+        F.struct((start + 40).alias("start"), (start + 53).alias("end"), F.lit("").alias("text")),
+    ).cast(token_counts.EDITS)
+
+
+def op6_token_counts(spark, sf_dir):
+    """Token counts of every document before and after edits, with what the edits made to be encoded anew."""
+    docs = table(spark, sf_dir, "documents")
+    docs = docs.withColumn("edits", edits_of(F.col("doc_id"), F.col("text"), F.col("source")))
+    path, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
+    trees = token_counts.build(docs, path, pattern, keep=("doc_id", "edits"))
+    trees = trees.withColumns({"n_tokens_before": F.col("n_tokens"), "n_pretokens": F.size("pre_chars").cast("long")})
+    kept = ("doc_id", "n_tokens_before", "n_pretokens")
+    return token_counts.apply_edits(trees, path, pattern, keep=kept, leaves=False)
+
+
 def op7_urls(spark, sf_dir):
     """Rules and, where none fits, the language models' verdict for every page."""
     return urls.judge(table(spark, sf_dir, "pages"))
@@ -45,7 +77,33 @@ def op8_quality(spark, sf_dir):
     return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_bpe, op4_secrets, op7_urls, op8_quality)}
+def op9_langid(spark, sf_dir):
+    """Language of every document, learned from labelled documents outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    told = langid.classify(docs, langid.train(docs))
+    return told.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def op10_ann(spark, sf_dir):
+    """The five nearest vectors of every fiftieth one."""
+    return ann.search(table(spark, sf_dir, "embeddings"), every=50)
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_warc,
+        op2_bpe,
+        op3_dedup,
+        op4_secrets,
+        op5_mixing,
+        op6_token_counts,
+        op7_urls,
+        op8_quality,
+        op9_langid,
+        op10_ann,
+    )
+}
 
 ORACLE = {
     "op1_warc": """WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
