@@ -1,14 +1,63 @@
-"""A training-data pipeline over ``documents``, built from the corpus operators."""
+"""A training-data pipeline over ``documents``, built from the corpus operators.
+
+Each stage takes and returns the columns of documents, but for the last. Rows with nulls, repeated
+rows and empty tables are treated as the operators' modules say.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from millrace.llm import bpe, common, dedup, langid, mixing, secrets
+
+RANKS = "byte_bpe_multi_50k.tiktoken"
+LEAST_SCORE = 0.5
+
+
+def identify_language(spark, docs, sf_dir):
+    """Learn languages from the labelled documents; those in no known language, or told with too little certainty, go."""
+    told = langid.classify(docs, langid.train(docs), keep=tuple(docs.columns))
+    return told.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+
+
+def drop_near_duplicates(spark, docs, sf_dir):
+    """One document of each group of near duplicates stays, the one with the least id (shingles of five words, 0.8)."""
+    return dedup.deduplicated(docs)
+
+
+def mask_secrets(spark, docs, sf_dir):
+    """Secrets are replaced by a mark in the text; every document stays."""
+    return secrets.masked(docs)
+
+
+def mix_sources(spark, docs, sf_dir):
+    """Documents stay as often as the mix takes them: not at all, once, or two times."""
+    mixed = mixing.mix(docs, keep=tuple(docs.columns))
+    return mixed.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+
+
+def encode_texts(spark, docs, sf_dir):
+    """Token ids of every text, with the documents' other columns."""
+    kept = tuple(c for c in docs.columns if c != "text")
+    return bpe.encode(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN, keep=kept)
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("near_dedup", drop_near_duplicates),
+    ("secret_scans", mask_secrets),
+    ("source_mix", mix_sources),
+    ("bpe_encoding", encode_texts),
+]
+
+# Classifier, signatures, knapsack and merges have no SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    """Apply all stages to the documents of a folder."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """Apply all stages to the documents of a folder, storing each stage's result for the next one."""
+    docs = common.table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = common.stored(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

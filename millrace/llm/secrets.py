@@ -22,9 +22,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from millrace.llm import common
 
@@ -122,8 +121,6 @@ def parts(found: DataFrame) -> DataFrame:
     """``key``, ``kind``, ``start``, ``end`` of every match that counts, once per distinct text."""
     some = found.where(F.size("found") > 0).select("key", "found").dropDuplicates(["key"])
     rows = some.select("key", F.explode("found").alias("e")).select("key", "e.*")
-    from pyspark.sql import Window
-
     along = Window.partitionBy("key", "kind").orderBy("i")
     end = F.sum(F.col("gap") + F.col("size")).over(along).cast("int")
     return rows.withColumn("end", end).where("good").select("key", "kind", (F.col("end") - F.col("size")).alias("start"), "end")
@@ -197,10 +194,9 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def mask(text: Column, spans: Column, by: str = MASK) -> Column:
     """The text with every span replaced; overlapping or touching spans become one mark."""
-    kinds = T.StructType().add("start", "int").add("end", "int")
     merged = F.aggregate(
         spans,
-        F.array().cast(T.ArrayType(kinds)),
+        F.array().cast("array<struct<start:int,end:int>>"),
         lambda done, s: F.when(
             (F.size(done) > 0) & (F.element_at(done, -1)["end"] >= s["start"]),
             F.concat(
