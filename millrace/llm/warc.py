@@ -51,15 +51,15 @@ RECORD = (
 class Bundle:
     """Writer of one bundle."""
 
-    def __init__(self, stream):
-        self.stream, self.sizes, self.raw, self.packed = stream, [], bytearray(), 0
+    def __init__(self, stream, frame_bytes: int = FRAME_BYTES):
+        self.stream, self.sizes, self.raw, self.packed, self.frame_bytes = stream, [], bytearray(), 0, frame_bytes
         self.zstd = zstandard.ZstdCompressor(level=3, write_content_size=True)
 
     def add(self, record: bytes) -> tuple[int, int, int]:
         """Frame number, place in the raw frame and length of the record."""
         place = (len(self.sizes), len(self.raw), len(record))
         self.raw += record
-        if len(self.raw) >= FRAME_BYTES:
+        if len(self.raw) >= self.frame_bytes:
             self._close_frame()
         return place
 
@@ -179,7 +179,14 @@ def revisits(pages: DataFrame, least: int = LEAST_SHARED) -> DataFrame:
     return again.groupBy("page_id", "payload_digest").agg(F.min("first").alias("first"))
 
 
-def write(pages: DataFrame, folder: str | None = None, url: str = "url", payload: str = "html") -> DataFrame:
+def write(
+    pages: DataFrame,
+    folder: str | None = None,
+    url: str = "url",
+    payload: str = "html",
+    frame_bytes: int = FRAME_BYTES,
+    bundle_bytes: int = BUNDLE_BYTES,
+) -> DataFrame:
     """Write a record per row (``page_id``, url, payload text) and return the stored index."""
     spark = pages.sparkSession
     common.small_batches(spark)
@@ -207,12 +214,12 @@ def write(pages: DataFrame, folder: str | None = None, url: str = "url", payload
             for row in batch.to_pylist():
                 if bundle is None:
                     name = f"part-{task.partitionId():06d}-{task.taskAttemptId()}-{uuid.uuid4().hex[:12]}.warc.zst"
-                    bundle = Bundle(files.open_output_stream(f"{path}/{name}", compression=None))
+                    bundle = Bundle(files.open_output_stream(f"{path}/{name}", compression=None), frame_bytes)
                 record = make_record(
                     row["page_id"], row["url"], row["payload"].encode(), row["payload_digest"], row["revisit"], row["first"]
                 )
                 places.append((row["page_id"], f"{folder}/{name}", *bundle.add(record)))
-                if bundle.packed >= BUNDLE_BYTES:
+                if bundle.packed >= bundle_bytes:
                     bundle.close()
                     bundle = None
             if places:
