@@ -2,10 +2,11 @@
 
 Words and neighbouring words are hashed into ``CELLS`` cells. The raw multinomial is counted over
 all documents, the trusted one over at most ``TRUSTED`` documents labelled good. A document's score
-is its mean log ratio of the two over its n-grams. Documents below a threshold go; the threshold is
-the lowest histogram edge that removes as many labelled bad documents as any edge that keeps
-``KEEP`` of the good ones. It is set on a fifth of the labelled documents, which the trusted sample
-leaves out: its own documents score higher than others like them.
+is its mean log ratio of the two over its n-grams. Documents below a threshold go. Of the histogram
+edges that keep ``KEEP`` of the good labelled documents, those that remove the most bad ones form
+a range; the threshold is a third of the way up in it, nearer the bad ones. It is set on a fifth of
+the labelled documents, which the trusted sample leaves out: its own documents score higher than
+others like them.
 
 Null and empty texts have no words and fail the base rules. Repeated rows are judged alike. Labels
 with null ids or values count for nothing; a document labelled more than once is good if its labels
@@ -154,17 +155,22 @@ def threshold(rows: DataFrame, labels: DataFrame) -> DataFrame:
     )
     counted = bins.groupBy("bin").agg(F.sum("good").alias("g"), F.sum(1 - F.col("good")).alias("b"))
     table = counted.agg(F.sort_array(F.collect_list(F.struct("bin", "g", "b"))).alias("t"), F.sum("g").alias("all_good"))
-    zero = F.lit(0).cast("long")
-    walk = F.aggregate(
-        "t",
-        F.struct(zero.alias("g"), F.lit(None).cast("int").alias("edge")),
-        lambda s, x: F.struct(
-            (s["g"] + x["g"]).alias("g"),
+    zero, none = F.lit(0).cast("long"), F.lit(None).cast("int")
+
+    def step(s: Column, x: Column) -> Column:
+        g = s["g"] + x["g"]
+        over = g > (1 - KEEP) * F.col("all_good")
+        return F.struct(
+            g.alias("g"),
             # Dropping all bins up to x: allowed while enough good ones stay, and of use when x holds bad ones.
-            F.when(((s["g"] + x["g"]) <= (1 - KEEP) * F.col("all_good")) & (x["b"] > 0), x["bin"] + 1).otherwise(s["edge"]).alias("edge"),
-        ),
-    )
-    return table.select((walk["edge"] / F.lit(float(BINS_PER_NAT))).alias("threshold"))
+            F.when(~over & (x["b"] > 0), x["bin"] + 1).otherwise(s["low"]).alias("low"),
+            F.when(over, F.coalesce(s["high"], x["bin"])).otherwise(s["high"]).alias("high"),
+        )
+
+    walk = F.aggregate("t", F.struct(zero.alias("g"), none.alias("low"), none.alias("high")), step)
+    found = table.select(walk.alias("w")).select("w.low", F.coalesce("w.high", "w.low").alias("high"))
+    edge = F.col("low") + F.floor((F.col("high") - F.col("low")) / 3)
+    return found.select((edge / F.lit(float(BINS_PER_NAT))).alias("threshold"))
 
 
 def judge(docs: DataFrame, labels: DataFrame, text: str = "text") -> DataFrame:
