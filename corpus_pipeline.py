@@ -7,8 +7,6 @@ rows and empty tables are treated as the operators' modules say.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import functions as F
-
 from millrace.llm import bpe, common, dedup, langid, mixing, secrets
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -17,8 +15,7 @@ LEAST_SCORE = 0.5
 
 def identify_language(spark, docs, sf_dir):
     """Learn languages from the labelled documents; those in no known language, or told with too little certainty, go."""
-    told = langid.classify(docs, langid.train(docs), keep=tuple(docs.columns))
-    return told.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+    return langid.identified(docs, langid.train(docs), LEAST_SCORE)
 
 
 def drop_near_duplicates(spark, docs, sf_dir):
@@ -33,14 +30,12 @@ def mask_secrets(spark, docs, sf_dir):
 
 def mix_sources(spark, docs, sf_dir):
     """Documents stay as often as the mix takes them: not at all, once, or two times."""
-    mixed = mixing.mix(docs, keep=tuple(docs.columns))
-    return mixed.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    return mixing.repeated(docs)
 
 
 def encode_texts(spark, docs, sf_dir):
-    """Token ids of every text, with the documents' other columns."""
-    kept = tuple(c for c in docs.columns if c != "text")
-    return bpe.encode(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN, keep=kept)
+    """Token ids of every text."""
+    return bpe.encode(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN, keep=("doc_id", "lang", "source"))
 
 
 STAGES = [

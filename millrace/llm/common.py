@@ -42,3 +42,8 @@ def words(text: Column) -> Column:
 
 def word_count(text: Column) -> Column:
     return F.size(words(text)).cast("long")
+
+
+def numbered(docs: DataFrame, prefix: str = "col") -> DataFrame:
+    """The same columns under numbered names, which no name of an operator can clash with."""
+    return docs.toDF(*[f"{prefix}_{i}" for i in range(len(docs.columns))])

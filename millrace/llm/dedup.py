@@ -218,7 +218,9 @@ def near_duplicates(docs: DataFrame, text: str = "text", width: int = WORDS) ->
 def deduplicated(docs: DataFrame, text: str = "text", width: int = WORDS) -> DataFrame:
     """The documents with one row per group; of rows that repeat an id and text one stays, with it any of a null id."""
     kept = near_duplicates(docs, text, width).where("kept").select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash"))
-    rows = docs.withColumn("row_hash", F.xxhash64(F.col(text).cast("string")))
-    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("row_hash") == F.col("kept_hash"))
-    met = rows.join(kept.distinct(), same, "left_semi")
-    return met.dropDuplicates(["doc_id", "row_hash"]).select(*docs.columns)
+    own = common.numbered(docs)
+    doc_id, whole = (F.col(f"col_{docs.columns.index(c)}") for c in ("doc_id", text))
+    rows = own.withColumns({"row_id": doc_id, "row_hash": F.xxhash64(whole.cast("string"))})
+    same = F.col("row_id").eqNullSafe(F.col("kept_id")) & (F.col("row_hash") == F.col("kept_hash"))
+    met = rows.join(kept.distinct(), same, "left_semi").dropDuplicates(["row_id", "row_hash"])
+    return met.drop("row_id", "row_hash").toDF(*docs.columns)

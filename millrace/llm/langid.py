@@ -176,8 +176,7 @@ def train(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> Model:
     return fit(languages, [vectors[i] for i in np.random.default_rng(0).permutation(len(vectors))])
 
 
-def classify(docs: DataFrame, model: Model, text: str = "text", keep: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """The columns ``keep``, ``lang_pred`` and ``score`` of every row."""
+def _told(docs: DataFrame, model: Model, text: str, keep: Sequence[str]) -> DataFrame:
     common.small_batches(docs.sparkSession)
     source = docs.select(F.col(text).cast("string").alias("text"), *[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)])
     schema = source.drop("text").schema.add("lang_pred", T.StringType()).add("score", T.DoubleType())
@@ -188,5 +187,16 @@ def classify(docs: DataFrame, model: Model, text: str = "text", keep: Sequence[s
             made = [pa.array([t[0] for t in told], pa.string()), pa.array([t[1] for t in told], pa.float64())]
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], *made], names=schema.names)
 
-    made = source.mapInArrow(work, schema)
-    return made.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], "lang_pred", "score")
+    return source.mapInArrow(work, schema)
+
+
+def classify(docs: DataFrame, model: Model, text: str = "text", keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """The columns ``keep``, ``lang_pred`` and ``score`` of every row."""
+    told = _told(docs, model, text, keep)
+    return told.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], "lang_pred", "score")
+
+
+def identified(docs: DataFrame, model: Model, least: float, text: str = "text") -> DataFrame:
+    """The documents, unchanged, whose language is told with a score of ``least`` or more."""
+    told = _told(docs, model, text, docs.columns).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
+    return told.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(docs.columns)])

@@ -3,8 +3,8 @@
 Each source gets as many whole passes as its target holds (0, 1 or 2). For the rest of the budget
 documents are counted by exact length: every length gives its share, rounded down, then longer
 lengths give one document more while it fits, and a bounded-knapsack program over the lengths left
-fills what remains, which is less than the longest document, to the last word where that can be
-done. The documents of a length are chosen by a seeded hash.
+fills what remains, which is less than the longest document: to the last word where that can be
+done, else to the nearest sum below or above. The documents of a length are chosen by a seeded hash.
 
 Lengths are the only thing a source is reduced to: the program for a source sees one row per
 distinct length. The choice within a length goes by ranges of the hash, so that a length with a
@@ -18,6 +18,8 @@ gives an empty result; a table without words gives targets of 0. Further columns
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -81,7 +83,7 @@ def targets(lengths: DataFrame) -> DataFrame:
 
 
 def fit(sizes: list[int], counts: list[int], budget: int) -> list[int]:
-    """How many documents of each length to take so that their words come to the budget, or near below."""
+    """How many documents of each length to take so that their words come as near to the budget as they can."""
     total = sum(s * n for s, n in zip(sizes, counts, strict=True))
     if budget >= total:
         return list(counts)
@@ -96,9 +98,10 @@ def fit(sizes: list[int], counts: list[int], budget: int) -> list[int]:
             take[i] += 1
             left -= sizes[i]
     room = min(left, DP_BUDGET)
-    mask, reached, steps = (1 << (room + 1)) - 1, 1, []
+    most = room + min(longest, DP_BUDGET)  # a sum beyond the budget may be nearer than any below
+    mask, reached, steps = (1 << (most + 1)) - 1, 1, []
     for i in order:
-        spare, times = min(counts[i] - take[i], room // sizes[i]), 1
+        spare, times = min(counts[i] - take[i], most // sizes[i]), 1
         while spare > 0 and not reached >> room & 1:
             part = min(times, spare)  # 1, 2, 4, ... and a last part make up any number to spare
             steps.append((i, part, reached))
@@ -106,7 +109,10 @@ def fit(sizes: list[int], counts: list[int], budget: int) -> list[int]:
             spare, times = spare - part, times * 2
         if reached >> room & 1:
             break
-    at = reached.bit_length() - 1
+    below = (reached & ((1 << (room + 1)) - 1)).bit_length() - 1
+    beyond = reached >> (room + 1)
+    above = room + (beyond & -beyond).bit_length() if beyond else None
+    at = above if above is not None and above - room < room - below else below
     for i, part, before in reversed(steps):
         if not before >> at & 1:
             take[i] += part
@@ -139,17 +145,19 @@ def plan(rows: DataFrame) -> DataFrame:
     )
 
 
-def mix(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str = "text", seed: int = SEED) -> DataFrame:
-    """One row per document: ``keep``, ``size``, ``source_size``, ``target``, ``copies`` and ``taken`` words."""
+def _mixed(docs: DataFrame, keep: Sequence[str], text: str, seed: int) -> DataFrame:
     kept = [F.col(c).alias(f"k{i}") for i, c in enumerate(keep)]
     narrow = docs.select("doc_id", "source", F.col(text).cast("string").alias("text"), *kept)
     rows = measured(narrow, "text", seed).drop("text")
-    plain = rows.select("source", "name", "size", "range")
-    chosen = common.stored(plan(plain), "mix-plan")
+    chosen = common.stored(plan(rows.select("source", "name", "size", "range")), "mix-plan")
     joined = rows.join(chosen, ["name", "size", "range"])
     turn = F.row_number().over(Window.partitionBy("name", "size", "range").orderBy("draw", "doc_id"))
-    ranked = joined.withColumn("copies", F.col("passes") + (turn <= F.col("take") - F.col("earlier")).cast("int"))
-    return ranked.select(
+    return joined.withColumn("copies", F.col("passes") + (turn <= F.col("take") - F.col("earlier")).cast("int"))
+
+
+def mix(docs: DataFrame, keep: Sequence[str] = ("doc_id",), text: str = "text", seed: int = SEED) -> DataFrame:
+    """One row per document: ``keep``, ``size``, ``source_size``, ``target``, ``copies`` and ``taken`` words."""
+    return _mixed(docs, keep, text, seed).select(
         *[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)],
         "size",
         "source_size",
@@ -157,3 +165,10 @@ def mix(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str = "text"
         "copies",
         (F.col("copies") * F.col("size")).alias("taken"),
     )
+
+
+def repeated(docs: DataFrame, text: str = "text", seed: int = SEED) -> DataFrame:
+    """The documents, unchanged, each as often as the mix takes it."""
+    mixed = _mixed(docs, docs.columns, text, seed).where("copies > 0")
+    each = mixed.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return each.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(docs.columns)])

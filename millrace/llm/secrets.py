@@ -167,7 +167,7 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     """One row per document: ``doc_id``, counts of the base kinds, ``base_sha256``, ``spans`` as text,
     ``found``: the spans as an array of (start, kind, end), and ``key``: the row's id and text hash."""
     common.small_batches(docs.sparkSession)
-    seen = matches(docs.select("doc_id", F.col(text).cast("string").alias("text")))
+    seen = matches(docs.select(F.col("doc_id"), F.col(text).cast("string").alias("text")))
     grouped = (
         linked(seen)
         .groupBy("key")
@@ -217,17 +217,17 @@ def mask(text: Column, spans: Column, by: str = MASK) -> Column:
 
 
 def masked(docs: DataFrame) -> DataFrame:
-    """The documents with their secrets masked and ``n_chars`` counted anew where a text changed."""
+    """The documents with their secrets masked and ``n_chars``, where there is one, counted anew in changed texts."""
     found = scan(docs).select(F.col("key").alias("k"), F.col("found").alias("spans_found")).where(F.size("spans_found") > 0)
-    rows = docs.withColumn("row_key", _key(docs)).join(found.dropDuplicates(["k"]), F.col("row_key").eqNullSafe(F.col("k")), "left")
+    own = common.numbered(docs)
+    place = {name: f"col_{i}" for i, name in enumerate(docs.columns)}
+    text = F.col(place["text"]).cast("string")
+    key = F.struct(F.col(place["doc_id"]).alias("d"), F.xxhash64(text).alias("h"))
+    rows = own.join(found.dropDuplicates(["k"]), key.eqNullSafe(F.col("k")), "left")
     hit = F.col("spans_found").isNotNull()
-    changed = rows.withColumn("masked_text", F.when(hit, mask(F.col("text"), F.col("spans_found"))).otherwise(F.col("text")))
-    columns = []
-    for name in docs.columns:
-        if name == "text":
-            columns.append(F.col("masked_text").alias("text"))
-        elif name == "n_chars":
-            columns.append(F.when(hit, F.length("masked_text")).otherwise(F.col("n_chars")).cast(docs.schema[name].dataType).alias(name))
-        else:
-            columns.append(F.col(name))
-    return changed.select(*columns)
+    rows = rows.withColumn("masked_text", F.when(hit, mask(text, F.col("spans_found"))).otherwise(text))
+    new = {name: F.col(column) for name, column in place.items()} | {"text": F.col("masked_text")}
+    if "n_chars" in place:
+        counted = F.when(hit, F.length("masked_text")).otherwise(F.col(place["n_chars"]))
+        new["n_chars"] = counted.cast(docs.schema["n_chars"].dataType)
+    return rows.select(*[column.alias(name) for name, column in new.items()])
