@@ -16,8 +16,6 @@ from millrace.plans.sql import SPACE, half_up, quoted
 from millrace.sources import scratch, tables, topics
 from millrace.streaming import run
 
-TIMEOUT = 3600
-
 
 def _edits(spark, sf):
     return e.parse(tables.edit_messages(spark, sf))
@@ -52,7 +50,7 @@ def edits_accepted(spark, sf):
 
 
 def edits_filtered(spark, sf):
-    return _flat(e.select_edits(_edits(spark, sf), wiki="view", namespace=0))
+    return _flat(e.select_edits(_edits(spark, sf), wiki="view", namespace=0, kind="edit"))
 
 
 def edits_per_wiki(spark, sf):
@@ -103,51 +101,51 @@ def edits_publish_roundtrip(spark, sf):
     """Edits of type "edit" published as JSON messages and read back as a table."""
     topic = scratch.new_path(spark, "topic")
     edits = tables.as_edits(tables.table(spark, sf, "events"))
-    topics.publish(topics.as_json(e.select_edits(edits)), path=topic)
+    topics.publish(topics.as_json(e.select_edits(edits, kind="edit")), path=topic)
     return _flat(e.parse(topics.read_topic(spark, path=topic, stream=False)))
 
 
 def edits_stream_scan(spark, sf):
-    return run.run_to_files(_flat(_stream(spark, sf)), timeout=TIMEOUT)
+    return run.run_to_files(_flat(_stream(spark, sf)))
 
 
 def edits_per_wiki_stream(spark, sf):
-    return run.run_to_memory(e.per_wiki(_stream(spark, sf)), timeout=TIMEOUT)
+    return run.run_to_memory(e.per_wiki(_stream(spark, sf)))
 
 
 def edits_hourly_bots_stream(spark, sf):
-    return run.run_to_results(e.hourly_bots(_stream(spark, sf)), timeout=TIMEOUT)
+    return run.run_to_results(e.hourly_bots(_stream(spark, sf)))
 
 
 def edits_tumbling_stream(spark, sf):
-    return run.run_to_results(e.tumbling(_stream(spark, sf)), timeout=TIMEOUT)
+    return run.run_to_results(e.tumbling(_stream(spark, sf)))
 
 
 def edits_sliding_stream(spark, sf):
-    return run.run_to_results(e.sliding(_stream(spark, sf)), timeout=TIMEOUT)
+    return run.run_to_results(e.sliding(_stream(spark, sf)))
 
 
 def edits_tumbling_append(spark, sf):
     """Windows that can no longer change, each written once; the last open ones are not."""
-    return run.run_to_files(e.tumbling(_stream(spark, sf), watermark="10 minutes"), timeout=TIMEOUT)
+    return run.run_to_files(e.tumbling(_stream(spark, sf), watermark="10 minutes"))
 
 
 def edit_size_types_stream(spark, sf):
-    return run.run_to_memory(e.size_types(_stream(spark, sf)), timeout=TIMEOUT)
+    return run.run_to_memory(e.size_types(_stream(spark, sf)))
 
 
 def biggest_pages_stream(spark, sf):
-    return run.run_to_memory(e.biggest_pages(e.per_page(_stream(spark, sf))), timeout=TIMEOUT)
+    return run.run_to_memory(e.biggest_pages(e.per_page(_stream(spark, sf))))
 
 
 def active_users_stream(spark, sf):
-    return run.run_to_memory(e.most_active(e.per_user(_stream(spark, sf))), timeout=TIMEOUT)
+    return run.run_to_memory(e.most_active(e.per_user(_stream(spark, sf))))
 
 
 def stream_clean_lines(spark, sf):
     """Document lines as a stream, cleaned and appended to text files."""
     lines = w.text_lines(tables.documents(spark, sf, stream=True), "text").select(F.col("line").alias("value"))
-    return run.run_to_files(w.clean_lines(lines), file_format="text", timeout=TIMEOUT)
+    return run.run_to_files(w.clean_lines(lines), file_format="text")
 
 
 def stream_resume(spark, sf):
@@ -158,7 +156,7 @@ def stream_resume(spark, sf):
     for delivery in (lines.where(english), lines.where(~english)):
         topics.publish(delivery, path=topic)
         cleaned = w.clean_lines(topics.read_topic(spark, path=topic))
-        rows = run.run_to_files(cleaned, out, checkpoint, "text", TIMEOUT)
+        rows = run.run_to_files(cleaned, out, checkpoint, "text")
     return rows
 
 
@@ -220,14 +218,14 @@ sized AS (
     SELECT *, CASE WHEN size_diff > 0 THEN 'addition' WHEN size_diff < 0 THEN 'removal' ELSE 'same size' END AS change
     FROM edits),
 users AS (SELECT wiki, "user", bot, count(*) AS edits FROM edits GROUP BY ALL),
-page_totals AS (SELECT wiki, title, count(*) AS edits, CAST(sum(size_diff) AS BIGINT) AS total_size_diff
+page_totals AS (SELECT wiki, title, count(*) AS edits, CAST(sum(size_diff) AS BIGINT) AS net_size_diff
                 FROM edits GROUP BY ALL)
 """
 _ALL = "SELECT * FROM edits"
 _TUMBLING = (
     f"""SELECT time_bucket(INTERVAL '5 minutes', event_time) AS window_start,
         time_bucket(INTERVAL '5 minutes', event_time) + INTERVAL '5 minutes' AS window_end, wiki, bot,
-        count(*) AS edits, {half_up("sum(size_diff)", "count(size_diff)", 1)} AS avg_size_diff
+        count(*) AS edits, {half_up("sum(size_diff)", "count(size_diff)", 1)} AS mean_size_diff
     FROM edits GROUP BY ALL"""
 )
 _HOURLY = (
@@ -248,16 +246,16 @@ _SLIDING = (
 )
 _PER_WIKI = (
     _EDITS
-    + """SELECT wiki, count(*) AS edits, min(event_time) AS first_event, max(event_time) AS last_event,
-        round(avg(CAST(bot AS INTEGER)) * 100, 1) AS bot_pct FROM edits GROUP BY wiki"""
+    + """SELECT wiki, count(*) AS edits, min(event_time) AS earliest_edit, max(event_time) AS latest_edit,
+        round(avg(CAST(bot AS INTEGER)) * 100, 1) AS bot_percent FROM edits GROUP BY wiki"""
 )
 _SIZES = (
     _EDITS
     + f"""SELECT wiki, change, count(*) AS edits,
-        {half_up("sum(abs(size_diff))", "count(size_diff)", 1)} AS avg_bytes, max(abs(size_diff)) AS max_bytes
+        {half_up("sum(abs(size_diff))", "count(size_diff)", 1)} AS mean_bytes, max(abs(size_diff)) AS largest_bytes
         FROM sized GROUP BY wiki, change"""
 )
-_PAGES = _EDITS + "SELECT * FROM page_totals ORDER BY abs(total_size_diff) DESC NULLS LAST, wiki, title LIMIT 10"
+_PAGES = _EDITS + "SELECT * FROM page_totals ORDER BY abs(net_size_diff) DESC NULLS LAST, wiki, title LIMIT 10"
 _USERS = _EDITS + 'SELECT * FROM users ORDER BY edits DESC, wiki, "user", bot LIMIT 10'
 _CLEAN = rf"""WITH lines AS (SELECT unnest(string_split(text, chr(10))) AS line FROM documents),
 listed AS (

@@ -12,6 +12,10 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Windows and epoch conversions are shown in the session zone.
     "spark.sql.session.timeZone": "UTC",
+    # State of streaming queries outside the executors' heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
     "spark.ui.enabled": "false",
 }
 

@@ -12,7 +12,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.sources import layout, scratch
+from millrace.sources import scratch
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,9 +28,8 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str, **options) -> Data
     return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
-def _spread_table(spark: SparkSession, sf_dir: str, name: str, key: str, stream: bool) -> DataFrame:
-    stored = table(spark, sf_dir, name)
-    return layout.spread(table_stream(spark, sf_dir, name) if stream else stored, key, like=stored)
+def _read(spark: SparkSession, sf_dir: str, name: str, stream: bool) -> DataFrame:
+    return table_stream(spark, sf_dir, name) if stream else table(spark, sf_dir, name)
 
 
 # --- trips ----------------------------------------------------------------------------------
@@ -72,28 +71,41 @@ def _with_ends(rows: DataFrame, spark: SparkSession, sf_dir: str, columns: list[
     return rows
 
 
-def trips(spark: SparkSession, sf_dir: str, columns: Iterable[str] = tuple(TRIP_VIEW)) -> DataFrame:
-    """The trip view, one row per order line."""
+def trips(
+    spark: SparkSession, sf_dir: str, columns: Iterable[str] = tuple(TRIP_VIEW), lines: DataFrame | None = None
+) -> DataFrame:
+    """The trip view, one row per order line, or per line of ``lines`` where only some are wanted."""
     columns = list(columns)
-    rows = _with_ends(table(spark, sf_dir, "lineitem"), spark, sf_dir, columns)
+    rows = _with_ends(table(spark, sf_dir, "lineitem") if lines is None else lines, spark, sf_dir, columns)
     return rows.selectExpr(*[f"{TRIP_VIEW[name]} as {name}" for name in columns])
 
 
 def trip_counts(spark: SparkSession, sf_dir: str, columns: Iterable[str]) -> DataFrame:
-    """The trip view counted per order or supplier (``n_trips``), for questions that only count.
+    """The trip view counted per order or supplier (``n_trips``), for questions that only count."""
+    return trip_sums(spark, sf_dir, columns)
+
+
+def trip_sums(spark: SparkSession, sf_dir: str, columns: Iterable[str], measures: Iterable[str] = ()) -> DataFrame:
+    """The trip view added up per order or supplier: ``n_trips`` and, per measure, its sum and number of values.
 
     Lines are added up before the join: an order with a third of all lines is one row per task
-    when it is shuffled, and the join finds the rows where the count has put them.
+    when it is shuffled, and the join finds the rows where the sum has put them.
     """
     columns = list(columns)
+    parts = [
+        part
+        for m in measures
+        for part in (F.sum(F.expr(_LINE[m])).alias(f"{m}_sum"), F.count(F.expr(_LINE[m])).alias(f"{m}_n"))
+    ]
     keys = [
         key
         for key, names in (("l_orderkey", {**_ORDER, **_CUSTOMER}), ("l_suppkey", _SUPPLIER))
         if any(name in names for name in columns)
     ]
-    counted = table(spark, sf_dir, "lineitem").groupBy(*keys).agg(F.count("*").alias("n_trips"))
+    counted = table(spark, sf_dir, "lineitem").groupBy(*keys).agg(F.count("*").alias("n_trips"), *parts)
     rows = _with_ends(counted, spark, sf_dir, columns)
-    return rows.selectExpr(*[f"{TRIP_VIEW[name]} as {name}" for name in columns], "n_trips")
+    sums = [name for name in counted.columns if name not in keys]
+    return rows.selectExpr(*[f"{TRIP_VIEW[name]} as {name}" for name in columns], *sums)
 
 
 def rides(spark: SparkSession, sf_dir: str, zones: bool = False) -> DataFrame:
@@ -122,7 +134,7 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
-    return _spread_table(spark, sf_dir, "documents", "doc_id", stream)
+    return _read(spark, sf_dir, "documents", stream)
 
 
 def books(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,7 +185,7 @@ def as_messages(events: DataFrame, damaged: bool = False) -> DataFrame:
 
 
 def edit_messages(spark: SparkSession, sf_dir: str, stream: bool = False, damaged: bool = False) -> DataFrame:
-    return as_messages(_spread_table(spark, sf_dir, "events", "event_id", stream), damaged)
+    return as_messages(_read(spark, sf_dir, "events", stream), damaged)
 
 
 # --- service log ----------------------------------------------------------------------------

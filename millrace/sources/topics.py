@@ -1,4 +1,7 @@
-"""Message topics: Kafka, or a directory that stands for one (one message per line).
+"""Message topics: Kafka, or a directory that stands for one.
+
+The directory holds Parquet files with a ``value`` column, so that a message keeps its line breaks
+and a missing one stays null.
 
 The Kafka branch needs the connector package of the running Spark version on the class path.
 """
@@ -46,7 +49,7 @@ def read_topic(
         return reader.format("kafka").options(**kafka).load()
     if stream and max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.schema(MESSAGE_SCHEMA).text(path)
+    return reader.schema(MESSAGE_SCHEMA).parquet(path)
 
 
 def as_json(rows: DataFrame) -> DataFrame:
@@ -62,4 +65,4 @@ def publish(messages: DataFrame, *, path: str | None = None, kafka: Mapping[str,
     if kafka is not None:
         value.write.format("kafka").options(**kafka).save()
     else:
-        value.write.mode("append").text(path)
+        value.select(F.col("value").cast("string")).write.mode("append").parquet(path)

@@ -3,41 +3,12 @@
 from __future__ import annotations
 
 import uuid
-from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.sources import scratch
 
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-_PARTITIONS = "spark.sql.shuffle.partitions"
-KEPT_RESULTS = 2
-
-
-def state_partitions(spark: SparkSession) -> int:
-    """Tasks per stateful stage: no more than there are cores, no more than the session allows.
-
-    The number is fixed by the first run of a checkpoint and adaptive execution does not change it.
-    """
-    return max(1, min(int(spark.conf.get(_PARTITIONS)), spark.sparkContext.defaultParallelism))
-
-
-@contextmanager
-def _settings(spark: SparkSession, settings: dict[str, str]):
-    """Settings for the start of one query; a running query keeps its own copy."""
-    before = {key: spark.conf.get(key, None) for key in settings}
-    for key, value in settings.items():
-        spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        for key, value in before.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)
 
 
 def start(
@@ -49,23 +20,24 @@ def start(
     name: str | None = None,
     checkpoint: str | None = None,
     drain: bool = True,
-    partitions: int | None = None,
-    state_store: str = _ROCKSDB,
+    keep: int = 2,
 ) -> StreamingQuery:
     """Start a streaming query.
 
     ``drain`` processes what is available and stops; otherwise micro-batches go on until the
-    query is stopped. State is kept by RocksDB, outside the executors' heap.
+    query is stopped. State store and number of state partitions are those of the session
+    (``millrace.session``, ``spark.sql.shuffle.partitions``); a checkpoint keeps the number it began with.
 
     Sinks: ``memory`` (a named table on the driver, for small results), ``console``, any file
-    format in append mode, and ``results``, which writes each complete result to its own folder.
+    format in append mode, and ``results``, which writes each complete result to its own folder and
+    drops all but the last ``keep``: a result that was handed out is readable for so many batches.
     """
     spark = result.sparkSession
     writer = result.writeStream.outputMode(mode)
     if name:
         writer = writer.queryName(name)
     if sink == "results":
-        writer = writer.foreachBatch(lambda rows, batch: _keep_result(rows, batch, path))
+        writer = writer.foreachBatch(lambda rows, batch: _keep_result(rows, batch, path, keep))
     else:
         writer = writer.format(sink)
         if path:
@@ -75,16 +47,19 @@ def start(
     writer = writer.option("checkpointLocation", checkpoint or scratch.new_path(spark, "checkpoint"))
     if drain:
         writer = writer.trigger(availableNow=True)
-    settings = {_PARTITIONS: str(partitions or state_partitions(spark)), _PROVIDER: state_store}
-    with _settings(spark, settings):
-        return writer.start()
+    return writer.start()
+
 
+def _batches(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the batch folders below a path; other entries are none of ours."""
+    return [int(name) for name in scratch.children(spark, path) if name.isdecimal()]
 
-def _keep_result(rows: DataFrame, batch: int, path: str) -> None:
+
+def _keep_result(rows: DataFrame, batch: int, path: str, keep: int) -> None:
     """One folder per micro-batch: a repeated batch overwrites its own, older ones are dropped."""
     rows.write.mode("overwrite").parquet(f"{path}/{batch}")
-    for old in scratch.children(rows.sparkSession, path):
-        if int(old) <= batch - KEPT_RESULTS:
+    for old in _batches(rows.sparkSession, path):
+        if old <= batch - keep:
             scratch.remove(rows.sparkSession, f"{path}/{old}")
 
 
@@ -105,13 +80,20 @@ def run_to_memory(result: DataFrame, mode: str = "complete", timeout: float | No
 
 
 def run_to_results(
-    result: DataFrame, path: str | None = None, checkpoint: str | None = None, timeout: float | None = None
+    result: DataFrame,
+    path: str | None = None,
+    checkpoint: str | None = None,
+    timeout: float | None = None,
+    keep: int = 2,
 ) -> DataFrame:
-    """Drain an aggregate in complete mode into shared storage and read the last full result."""
+    """Drain an aggregate in complete mode into shared storage and read the last full result.
+
+    The files of the last ``keep`` results stay, so that one handed out earlier outlives later runs.
+    """
     spark = result.sparkSession
     path = path or scratch.new_path(spark, "results")
-    finish(start(result, "results", "complete", path=path, checkpoint=checkpoint), timeout)
-    done = [int(b) for b in scratch.children(spark, path) if "_SUCCESS" in scratch.children(spark, f"{path}/{b}")]
+    finish(start(result, "results", "complete", path=path, checkpoint=checkpoint, keep=keep), timeout)
+    done = [b for b in _batches(spark, path) if "_SUCCESS" in scratch.children(spark, f"{path}/{b}")]
     if not done:
         # No batch ran: the source was empty.
         return spark.createDataFrame([], result.schema)

@@ -73,9 +73,9 @@ def test_repeated_hour(spark):
 
 def test_select_edits(spark):
     result = edits(spark, message("a"), message("b", wiki="en"), message("c", namespace=1), message("d", kind="log"))
-    assert rows(e.select_edits(result, "fr", 0), "title") == [("a",)]
-    assert rows(e.select_edits(result), "title") == [("a",), ("b",), ("c",)]
-    assert rows(e.select_edits(result, kind=None), "title") == [("a",), ("b",), ("c",), ("d",)]
+    assert rows(e.select_edits(result, "fr", 0, "edit"), "title") == [("a",)]
+    assert rows(e.select_edits(result, kind="edit"), "title") == [("a",), ("b",), ("c",)]
+    assert rows(e.select_edits(result), "title") == [("a",), ("b",), ("c",), ("d",)]
 
 
 def test_sign_buckets(spark):
@@ -106,7 +106,7 @@ def test_missing_time_is_in_totals_only(spark):
 
 def test_tumbling(spark):
     result = e.tumbling(edits(spark, message(new=101), message(at=NOON + 299, new=102), message(at=NOON + 300), message(bot=True)))
-    assert rows(result, "window_start", "bot", "edits", "avg_size_diff") == [
+    assert rows(result, "window_start", "bot", "edits", "mean_size_diff") == [
         (utc(2026, 2, 1, 12, 0), False, 2, 1.5),
         (utc(2026, 2, 1, 12, 0), True, 1, 0.0),
         (utc(2026, 2, 1, 12, 5), False, 1, 0.0),
@@ -115,8 +115,8 @@ def test_tumbling(spark):
 
 def test_bot_percentage(spark):
     [row] = e.per_wiki(edits(spark, message(bot=True), message(), message(at=NOON + 60))).collect()
-    assert (row.edits, row.bot_pct) == (3, 33.3)
-    assert (row.first_event, row.last_event) == (utc(2026, 2, 1, 12, 0), utc(2026, 2, 1, 12, 1))
+    assert (row.edits, row.bot_percent) == (3, 33.3)
+    assert (row.earliest_edit, row.latest_edit) == (utc(2026, 2, 1, 12, 0), utc(2026, 2, 1, 12, 1))
 
 
 def test_biggest_pages_in_either_direction(spark):
