@@ -24,8 +24,8 @@ END_MARKER = "*** END"
 
 
 def lines(text: Column) -> Column:
-    """The lines of a text, in order."""
-    return F.split(text, "\n")
+    """The lines of a text, in order; a carriage return before a line break belongs to the break."""
+    return F.split(text, "\r?\n")
 
 
 def line_count(text: Column) -> Column:
@@ -36,7 +36,8 @@ def line_count(text: Column) -> Column:
 def raw_tokens(text: Column) -> Column:
     """Tokens between single spaces, line by line; empty tokens are kept."""
     # Splitting on one plain character avoids the regular expression engine.
-    return F.split(F.replace(text, F.lit("\n"), F.lit(" ")), " ")
+    one_line = F.replace(F.replace(text, F.lit("\r\n"), F.lit(" ")), F.lit("\n"), F.lit(" "))
+    return F.split(one_line, " ")
 
 
 def clean_token(token: Column) -> Column:

@@ -93,6 +93,29 @@ def shared_words(
     return joined if names is None else joined.where(F.col("word").isin(list(names)))
 
 
+def shared_by_language(
+    documents: DataFrame,
+    stop_words: Mapping[str, Iterable[str]],
+    names: Iterable[str] | None = None,
+    text: str = "text",
+    language: str = "lang",
+) -> DataFrame:
+    """Words that the texts of two languages share, with the count in each (``n_<language>``), in one pass.
+
+    Every word meets its counts in one grouping, so that the texts are read and shuffled once.
+    """
+    listed = documents.where(F.col(language).isin(list(stop_words)))
+    exploded = listed.select(language, F.explode(t.clean_tokens(F.col(text))).alias("word")).where("word <> ''")
+    if names is not None:
+        exploded = exploded.where(F.col("word").isin(list(names)))
+    counts = {
+        lang: F.count_if((F.col(language) == lang) & ~F.col("word").isin(list(words))).alias(f"n_{lang}")
+        for lang, words in stop_words.items()
+    }
+    both = exploded.groupBy("word").agg(*counts.values())
+    return both.where(" and ".join(f"n_{lang} > 0" for lang in stop_words))
+
+
 def mean_by_key(rows: DataFrame, key: str, value: str) -> DataFrame:
     """Sum, count and mean per key."""
     totals = rows.groupBy(key).agg(F.sum(value).alias("total"), F.count(value).alias("n"))
@@ -185,17 +208,20 @@ def clean_lines_summary(
 ) -> DataFrame:
     """Messages read, lines written and the k most frequent words, from one pass and one shuffle.
 
-    Every message yields its words plus one or two marker rows; all are counted together.
+    Every message yields its words plus one or two marker rows; all are counted together. Both totals
+    are always reported, as 0 where nothing was read or written.
     """
     found = lines.select(t.clean_line_words(F.col(line), stop_words).alias("words"))
     # Words are never empty and never start with a space, so markers cannot collide with them.
     markers = F.when(F.size("words") > 0, F.array(F.lit(" messages"), F.lit(" lines written"))).otherwise(
         F.array(F.lit(" messages"))
     )
+    always = lines.sparkSession.createDataFrame([(" messages", 0), (" lines written", 0)], "item string, one long")
     counts = (
-        found.select(F.explode(F.concat(markers, "words")).alias("item"))
+        found.select(F.explode(F.concat(markers, "words")).alias("item"), F.lit(1).cast("long").alias("one"))
+        .unionByName(always)
         .groupBy("item")
-        .agg(F.count("*").alias("n"))
+        .agg(F.sum("one").alias("n"))
     )
     is_marker = F.startswith(F.col("item"), F.lit(" "))
     # Markers first, then words by count: the first k + 2 rows are the answer.

@@ -63,12 +63,10 @@ def word_count_equivalence(spark, sf):
 
 
 def _by_language(spark, sf, names=None):
-    documents = tables.documents(spark, sf)
-    english = documents.where("lang = 'en'").select("text")
-    french = documents.where("lang = 'fr'").select(t.split_apostrophes(F.col("text")).alias("text"))
-    return w.shared_words(
-        w.word_count(english, "text", ENGLISH), w.word_count(french, "text", FRENCH), names
-    )
+    french = F.col("lang") == "fr"
+    text = F.when(french, t.split_apostrophes(F.col("text"))).otherwise(F.col("text"))
+    documents = tables.documents(spark, sf).select("lang", text.alias("text"))
+    return w.shared_by_language(documents, {"en": ENGLISH, "fr": FRENCH}, names)
 
 
 def vocab_join(spark, sf):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from millrace.operators import boroughs as b
@@ -54,18 +55,37 @@ def trips_with_id(spark, sf):
 
 
 def trips_id_check(spark, sf):
-    """Ids are unique: as many ids as trips."""
-    return trips_with_id(spark, sf).agg(
-        F.count("*").alias("n_trips"), F.countDistinct("trip_id").alias("n_ids")
+    """Ids are unique: those of a task are consecutive, and the ranges of the tasks do not meet.
+
+    One row per task is enough to tell; no id is moved. ``n_ids`` is the number of trips in ranges that are as
+    long as their count and begin behind the one before.
+    """
+    task = F.shiftright("trip_id", 33)
+    ranges = (
+        trips_with_id(spark, sf)
+        .groupBy(task.alias("task"))
+        .agg(F.min("trip_id").alias("low"), F.max("trip_id").alias("high"), F.count("*").alias("n"))
     )
+    before = F.lag("high", 1, -1).over(Window.orderBy("task"))
+    sound = ranges.withColumn("sound", (F.col("high") - F.col("low") + 1 == F.col("n")) & (F.col("low") > before))
+    return sound.agg(F.sum("n").alias("n_trips"), F.sum(F.when(F.col("sound"), F.col("n")).otherwise(0)).alias("n_ids"))
 
 
 def trips_in_period(spark, sf):
     return tr.in_period(tables.trips(spark, sf, [*KEYS, *TIMES, "trip_distance"]), *YEAR_1)
 
 
+def _contenders(spark, sf, measure, k, ends, where="true"):
+    """Lines that may be among the k first by a measure of their own, found before anything is joined."""
+    columns = [tables.TRIP_VIEW[name] for name in (measure, *KEYS)]
+    lines = tables.table(spark, sf, "lineitem").where(where)
+    return tr.contenders(lines, columns[0], k, columns[1:], ends)
+
+
 def trips_shortest_positive(spark, sf):
-    return tr.shortest_positive(_timed(spark, sf, "trip_distance"), 3, KEYS)
+    lines = _contenders(spark, sf, "trip_distance", 3, [False], "l_quantity > 0")
+    trips = tables.trips(spark, sf, [*KEYS, *TIMES, "trip_distance"], lines)
+    return tr.shortest_positive(tr.with_duration(trips), 3, KEYS)
 
 
 def trips_extremes(spark, sf):
@@ -162,16 +182,19 @@ def weekday_by_borough_all_days(spark, sf):
 
 
 def borough_averages(spark, sf):
-    return b.averages(_with_boroughs(spark, sf, "trip_distance", "fare_amount", ends=["PU"]))
+    sums = tables.trip_sums(spark, sf, ["PULocationID"], ["trip_distance", "fare_amount"])
+    return b.averages(b.with_boroughs(sums, tables.zones(spark, sf), ["PU"]))
 
 
 def fare_extremes_borough(spark, sf):
-    return b.fare_extremes(_with_boroughs(spark, sf, *KEYS, "fare_amount", "trip_distance"), KEYS)
+    lines = _contenders(spark, sf, "fare_amount", 3, [True, False])
+    columns = [*KEYS, "fare_amount", "trip_distance", "PULocationID", "DOLocationID"]
+    return b.fare_extremes(b.with_boroughs(tables.trips(spark, sf, columns, lines), tables.zones(spark, sf)), KEYS)
 
 
 def period_metrics(spark, sf):
     trips = _timed(spark, sf, "passenger_count", "trip_distance", "fare_amount", "tip_amount", "total_amount")
-    return tr.compare_periods({"1996": tr.in_period(trips, *YEAR_1), "2000": tr.in_period(trips, *YEAR_2)}, BANDS)
+    return tr.compare_periods(trips, {"1996": YEAR_1, "2000": YEAR_2}, BANDS)
 
 
 def sql_passenger_stats(spark, sf):
@@ -184,7 +207,7 @@ def sql_busiest_hours(spark, sf):
 
 def sql_pickups_by_borough(spark, sf):
     return tr.ask_sql(
-        tr.SQL_PICKUPS_BY_BOROUGH, trips=tables.trips(spark, sf, ["PULocationID"]), zones=tables.zones(spark, sf)
+        tr.SQL_PICKUPS_BY_BOROUGH, trips=tables.trip_counts(spark, sf, ["PULocationID"]), zones=tables.zones(spark, sf)
     )
 
 
@@ -272,10 +295,10 @@ def _described(column):
 
 def _metrics(label, start, end):
     bands = " AND ".join(f"{c} > {low} AND {c} < {high}" for c, (low, high) in BANDS.items())
-    return f"""SELECT '{label}' AS period, count(*) AS n_trips, round(avg(passenger_count), 2) AS avg_passengers,
-        round(avg(trip_distance), 2) AS avg_distance, round(avg(duration_min), 2) AS avg_duration_min,
-        round(avg(fare_amount), 2) AS avg_fare, round(avg(tip_amount), 2) AS avg_tip,
-        round(avg(total_amount), 2) AS avg_total
+    return f"""SELECT '{label}' AS period, count(*) AS n_trips, round(avg(passenger_count), 2) AS mean_passengers,
+        round(avg(trip_distance), 2) AS mean_distance, round(avg(duration_min), 2) AS mean_duration_min,
+        round(avg(fare_amount), 2) AS mean_fare, round(avg(tip_amount), 2) AS mean_tip,
+        round(avg(total_amount), 2) AS mean_total
         FROM trips WHERE tpep_pickup_datetime >= '{start}' AND tpep_pickup_datetime < '{end}' AND {bands}"""
 
 
@@ -316,7 +339,7 @@ ORACLE = {
         ]
     ),
     "passenger_stats": _TRIPS
-    + "SELECT max(passenger_count) AS max_passengers, round(avg(passenger_count), 2) AS avg_passengers FROM trips",
+    + "SELECT max(passenger_count) AS max_passengers, round(avg(passenger_count), 2) AS mean_passengers FROM trips",
     "trips_per_day": _TRIPS + "SELECT day, n_trips FROM days",
     "trips_per_hour": _TRIPS + "SELECT hour, n_trips FROM hours",
     "period_of_day": f"SELECT {_PERIOD} AS period, count(*) AS n_trips FROM events GROUP BY ALL",
@@ -327,14 +350,14 @@ ORACLE = {
             count(*) AS n_trips FROM trips GROUP BY ALL""",
     "busiest_days": _TRIPS + _ranked("days", "day"),
     "busiest_hours": _TRIPS + _ranked("hours", "hour"),
-    "weekday_average": _TRIPS + "SELECT dayname(day) AS weekday, avg(n_trips) AS avg_trips FROM days GROUP BY ALL",
+    "weekday_average": _TRIPS + "SELECT dayname(day) AS weekday, avg(n_trips) AS mean_trips FROM days GROUP BY ALL",
     "tip_by_payment": _TRIPS
-    + "SELECT payment_type, round(avg(tip_amount), 6) AS avg_tip FROM trips GROUP BY payment_type",
+    + "SELECT payment_type, round(avg(tip_amount), 6) AS mean_tip FROM trips GROUP BY payment_type",
     "tip_correlation": _TRIPS
     + f"""SELECT round(corr(trip_distance, tip_amount), 6) AS corr_distance_tip,
         round(corr(passenger_count, tip_amount), 6) AS corr_passengers_tip {_TIPS}""",
     "tip_by_passengers": _TRIPS
-    + f"""SELECT passenger_count, round(avg(tip_amount), 6) AS avg_tip, count(*) AS n_trips {_TIPS}
+    + f"""SELECT passenger_count, round(avg(tip_amount), 6) AS mean_tip, count(*) AS n_trips {_TIPS}
         GROUP BY passenger_count""",
     "trips_quality": _TRIPS
     + f"""SELECT count(*) FILTER (passenger_count = 0) AS no_passenger,
@@ -384,7 +407,7 @@ ORACLE = {
     )
     + " FROM boroughs GROUP BY pu_borough",
     "borough_averages": _TRIPS
-    + """SELECT pu_borough, round(avg(trip_distance), 2) AS avg_distance, round(avg(fare_amount), 2) AS avg_fare,
+    + """SELECT pu_borough, round(avg(trip_distance), 2) AS mean_distance, round(avg(fare_amount), 2) AS mean_fare,
         count(*) AS n_trips FROM boroughs GROUP BY pu_borough""",
     "fare_extremes_borough": _TRIPS
     + " UNION ALL ".join(
@@ -395,7 +418,7 @@ ORACLE = {
     ),
     "period_metrics": _TRIPS + " UNION ALL ".join([_metrics("1996", *YEAR_1), _metrics("2000", *YEAR_2)]),
     "sql_passenger_stats": _TRIPS
-    + "SELECT max(passenger_count) AS max_passengers, round(avg(passenger_count), 2) AS avg_passengers FROM trips",
+    + "SELECT max(passenger_count) AS max_passengers, round(avg(passenger_count), 2) AS mean_passengers FROM trips",
     "sql_busiest_hours": _TRIPS + "SELECT hour, n_trips FROM hours ORDER BY n_trips DESC, hour LIMIT 3",
     "sql_pickups_by_borough": _TRIPS
     + """SELECT Borough AS pu_borough, count(*) AS n_trips FROM trips JOIN zones ON PULocationID = LocationID

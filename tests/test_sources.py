@@ -9,7 +9,7 @@ from conftest import rows
 from pyspark.sql import types as T
 
 from millrace.operators import service
-from millrace.sources import files, layout, tables, topics
+from millrace.sources import files, tables, topics
 
 
 def test_csv_with_declared_schema(spark, tmp_path):
@@ -73,22 +73,6 @@ def test_publish_appends_and_keeps_nulls(spark, tmp_path):
     assert rows(topics.read_topic(spark, path=topic, stream=False)) == [('{"title":"a\\nb","user":null}',)] * 2
 
 
-def test_small_inputs_are_spread_and_large_ones_left(spark, sf_dir):
-    events = tables.table(spark, sf_dir, "events")
-    assert layout.spread(events, "event_id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
-    try:
-        assert layout.spread(events, "event_id") is events
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
-
-
-@pytest.mark.parametrize("text, size", [("128MB", 128 << 20), ("134217728b", 128 << 20), ("1g", 1 << 30), ("7", 7)])
-def test_byte_settings(text, size):
-    assert layout._bytes(text) == size
-
-
 # --- service log ----------------------------------------------------------------------------
 
 OLD, NEW = "bootcamp-5cc66bcc9b-{}", "bootcamp-7d5c7d7dc4-{}"
@@ -141,3 +125,23 @@ def test_usage_with_total(spark):
         ("default", "app", 0, 4, 9),
         (None, None, 1, 102, 280),
     ]
+
+
+def test_usage_units(spark):
+    usage = spark.createDataFrame(
+        [("n", "a", "1", "2Gi"), ("n", "a", "250m", "512Ki"), ("n", "b", "0.5", "1048576"), ("n", "c", None, "1G")],
+        "namespace string, name string, cpu string, memory string",
+    )
+    report = {r["name"]: (r.cpu_millicores, r.memory_mib) for r in service.usage_with_total(usage).collect()}
+    assert report == {"a": (1250, 2049), "b": (500, 1), "c": (None, 954), None: (1750, 3004)}
+    odd = spark.createDataFrame([("n", "a", "5 apples", "1Mi")], usage.schema)
+    with pytest.raises(Exception, match="no cpu quantity: 5 apples"):
+        service.usage_with_total(odd).collect()
+
+
+def test_empty_log_and_missing_exit_codes(spark):
+    schema = "Time timestamp, ExitCode int, Response string"
+    assert rows(service.availability(spark.createDataFrame([], schema))) == [("failures", "all", 0), ("samples", "all", 0)]
+    log = spark.createDataFrame([(None, None, None), (None, 0, "v=1"), (None, 7, None)], schema)
+    found = rows(service.availability(log))
+    assert found == [("failures", "all", 1), ("samples", "all", 3), ("unknown", "all", 1), ("version", "1", 1)]

@@ -145,10 +145,11 @@ def test_band_edges_are_excluded(spark):
     edges = [trip("f0", fare=0.0), trip("f500", fare=500.0), trip("d100", distance=100.0), trip("d0", distance=0.0),
              trip("t180", minutes=180), trip("t0", minutes=0)]
     kept = [trip("in", fare=499.0, minutes=179, distance=99.0, passengers=None), trip("in2")]
-    result = tr.compare_periods({"2019": frame(spark, *edges, *kept), "2026": frame(spark, *edges)})
+    trips = frame(spark, *edges, *kept)
+    result = tr.compare_periods(trips, {"2019": ("2019-01-01", "2020-01-01"), "2026": ("2026-01-01", "2027-01-01")})
     found = {r.period: r for r in result.collect()}
-    assert (found["2019"].n_trips, found["2019"].avg_passengers, found["2019"].avg_distance) == (2, 1.0, 50.5)
-    assert (found["2026"].n_trips, found["2026"].avg_fare) == (0, None)
+    assert (found["2019"].n_trips, found["2019"].mean_passengers, found["2019"].mean_distance) == (2, 1.0, 50.5)
+    assert (found["2026"].n_trips, found["2026"].mean_fare) == (0, None)
 
 
 def test_boroughs_left_and_inner(spark, zones):
@@ -157,7 +158,8 @@ def test_boroughs_left_and_inner(spark, zones):
     assert rows(joined, "trip", "pu_borough", "do_borough") == [
         ("a", "Manhattan", "Queens"), ("b", "Unknown", "N/A"), ("c", None, "Queens")
     ]
-    inner = tr.ask_sql(tr.SQL_PICKUPS_BY_BOROUGH, trips=trips, zones=zones)
+    counted = trips.withColumn("n_trips", F.lit(1))
+    inner = tr.ask_sql(tr.SQL_PICKUPS_BY_BOROUGH, trips=counted, zones=zones)
     assert rows(inner) == [("Manhattan", 1), ("Unknown", 1)]
 
 
@@ -196,6 +198,16 @@ def test_fare_extremes(spark, zones):
     assert rows(result, "question", "trip") == [("highest", "8"), ("highest", "9"), ("lowest", "0"), ("lowest", "1")]
 
 
+def test_contenders_hold_all_that_may_be_first(spark):
+    values = [(n, v, n % 2) for n, v in enumerate([5.0, None, 1.0, 5.0, 3.0, None, 1.0, 5.0, 2.0, 4.0])]
+    table = spark.createDataFrame(values, "id int, v double, w int")
+    for k in (1, 2, 3, 4, 20):
+        for highest in (True, False):
+            some = tr.contenders(table, "v", k, ["w"], [highest])
+            assert rows(tr.top(some, "v", k, ["w", "id"], highest)) == rows(tr.top(table, "v", k, ["w", "id"], highest))
+    assert tr.contenders(table, "v", 1, ["id"]).count() == 2
+
+
 # --- plans ----------------------------------------------------------------------------------
 
 
@@ -219,6 +231,15 @@ def test_count_and_join_share_a_shuffle(spark, sf_dir):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_few_lines_are_joined_for_extremes(spark, sf_dir):
+    for query in (plans.fare_extremes_borough, plans.trips_shortest_positive):
+        assert "subquery" in plan(query(spark, sf_dir)).lower()
+
+
+def test_periods_are_one_pass(spark, sf_dir):
+    assert plan(plans.period_metrics(spark, sf_dir)).count("FileScan parquet") == 2
+
+
 def test_quality_is_one_pass(spark, sf_dir):
     assert plan(plans.trips_quality(spark, sf_dir)).count("FileScan parquet") == 2
 

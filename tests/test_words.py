@@ -83,6 +83,28 @@ def test_order_and_ties(spark):
     assert [tuple(r) for r in w.most_frequent(counts, 3).collect()] == [("a", 2), ("b", 2), ("z", 2)]
 
 
+def test_lines_end_in_either_form(spark):
+    texts = spark.createDataFrame([("a b\r\nc\n\r\nd\re",)], "value string")
+    assert [r.line for r in w.text_lines(texts, "value").collect()] == ["a b", "c", "", "d\re"]
+    assert rows(w.word_count_raw(texts), "word") == [("",), ("a",), ("b",), ("c",), ("d\re",)]
+
+
+def test_summary_of_nothing(spark):
+    none = spark.createDataFrame([], "value string")
+    assert rows(w.clean_lines_summary(none)) == [("total", "lines written", 0), ("total", "messages", 0)]
+    only = spark.createDataFrame([("the and of",)], "value string")
+    assert rows(w.clean_lines_summary(only)) == [("total", "lines written", 0), ("total", "messages", 1)]
+
+
+def test_shared_words_in_one_pass(spark):
+    texts = spark.createDataFrame(
+        [("en", "Fogg fix fogg the"), ("fr", "fix Fogg fix les"), ("de", "fogg"), (None, "fix")], "lang string, text string"
+    )
+    stops = {"en": ["the"], "fr": ["les"]}
+    assert rows(w.shared_by_language(texts, stops)) == [("fix", 1, 2), ("fogg", 2, 1)]
+    assert rows(w.shared_by_language(texts, stops, ["fogg"])) == [("fogg", 2, 1)]
+
+
 def test_shared_words(spark):
     english = w.word_count(frame(spark, "fogg fogg fix house"))
     french = w.word_count(frame(spark, "fogg maison fix fix"), stop_words=FRENCH)
