@@ -110,7 +110,7 @@ def edits_stream_scan(spark, sf):
 
 
 def edits_per_wiki_stream(spark, sf):
-    return run.run_to_memory(e.per_wiki(_stream(spark, sf)))
+    return run.run_to_results(e.per_wiki(_stream(spark, sf)))
 
 
 def edits_hourly_bots_stream(spark, sf):
@@ -130,8 +130,18 @@ def edits_tumbling_append(spark, sf):
     return run.run_to_files(e.tumbling(_stream(spark, sf), watermark="10 minutes"))
 
 
+def edits_hourly_append(spark, sf):
+    """As ``edits_tumbling_append``, by the hour: state is dropped with the window."""
+    return run.run_to_files(e.hourly_bots(_stream(spark, sf), watermark="10 minutes"))
+
+
+def edits_sliding_append(spark, sf):
+    """As ``edits_tumbling_append``, for windows that overlap."""
+    return run.run_to_files(e.sliding(_stream(spark, sf), watermark="10 minutes"))
+
+
 def edit_size_types_stream(spark, sf):
-    return run.run_to_memory(e.size_types(_stream(spark, sf)))
+    return run.run_to_results(e.size_types(_stream(spark, sf)))
 
 
 def biggest_pages_stream(spark, sf):
@@ -193,6 +203,8 @@ QUERIES = {
         edits_tumbling_stream,
         edits_sliding_stream,
         edits_tumbling_append,
+        edits_hourly_append,
+        edits_sliding_append,
         edit_size_types_stream,
         biggest_pages_stream,
         active_users_stream,
@@ -266,6 +278,14 @@ listed AS (
     FROM lines)
 SELECT array_to_string(words, ' ') AS value FROM listed WHERE len(words) > 0"""
 
+
+
+def _closed(windows):
+    """The windows that end before the watermark."""
+    at = "SELECT date_trunc('second', max(ts)) FROM events"
+    return f"SELECT * FROM ({windows}) WHERE window_end <= ({at}) - INTERVAL '10 minutes'"
+
+
 ORACLE = {
     "edits_parse": _EDITS + _ALL,
     "edits_rejects": "SELECT left(props, length(props) - 1) AS raw FROM events WHERE event_type = 'error'",
@@ -294,9 +314,9 @@ ORACLE = {
     "edits_hourly_bots_stream": _HOURLY,
     "edits_tumbling_stream": _EDITS + _TUMBLING,
     "edits_sliding_stream": _SLIDING,
-    "edits_tumbling_append": _EDITS
-    + f"""SELECT * FROM ({_TUMBLING})
-        WHERE window_end <= (SELECT max(event_time) FROM edits) - INTERVAL '10 minutes'""",
+    "edits_tumbling_append": _closed(_EDITS + _TUMBLING),
+    "edits_hourly_append": _closed(_HOURLY),
+    "edits_sliding_append": _closed(_SLIDING),
     "edit_size_types_stream": _SIZES,
     "biggest_pages_stream": _PAGES,
     "active_users_stream": _USERS,

@@ -92,6 +92,14 @@ def strip_boilerplate(spark, sf):
     return w.strip_boilerplate(tables.books(spark, sf)).select("doc_id", "lang", "marked", "body")
 
 
+def text_comparison(spark, sf):
+    """Books without their licence frame, French elisions split, compared by lines, words and distinct words."""
+    bodies = w.strip_boilerplate(tables.books(spark, sf))
+    french = F.col("lang") == "fr"
+    text = F.when(french, t.split_apostrophes(F.col("body"))).otherwise(F.col("body"))
+    return w.language_stats(bodies.select("lang", text.alias("text")), BY_LANGUAGE)
+
+
 def _document_lines(spark, sf):
     return w.text_lines(tables.documents(spark, sf), "text").select(F.col("line").alias("value"))
 
@@ -123,6 +131,7 @@ QUERIES = {
         avg_by_key,
         language_stats,
         strip_boilerplate,
+        text_comparison,
         clean_lines,
         clean_lines_summary,
     )
@@ -140,11 +149,10 @@ _COUNTED = (
     + f"""SELECT word, count(*) AS n FROM cleaned
           WHERE word <> '' AND word NOT IN ({quoted(ENGLISH)}) GROUP BY word"""
 )
+_SPLIT = "CASE lang WHEN 'fr' THEN translate(text, '''’', '  ') ELSE text END"
 _SHARED = (
     "WITH"
-    + _TOKENS.format(
-        text="CASE lang WHEN 'fr' THEN translate(text, '''’', '  ') ELSE text END", table="documents"
-    )
+    + _TOKENS.format(text=_SPLIT, table="documents")
     + f""",
     en AS (SELECT word, count(*) AS n_en FROM cleaned
            WHERE lang = 'en' AND word <> '' AND word NOT IN ({quoted(ENGLISH)}) GROUP BY word),
@@ -161,6 +169,21 @@ listed AS (
     FROM lines)
 """
 
+def _stats(text):
+    return rf""", sizes AS (
+            SELECT lang, CAST(sum(len(string_split({text}, chr(10)))) AS BIGINT) AS lines,
+                   CAST(sum(len(list_filter(regexp_split_to_array({text}, '[{SPACE}]+'),
+                                            lambda x: x <> ''))) AS BIGINT) AS tokens
+            FROM documents GROUP BY lang),
+        vocabulary AS (
+            SELECT lang, count(DISTINCT word) AS distinct_words FROM cleaned
+            WHERE word <> '' AND NOT (lang = 'en' AND word IN ({quoted(ENGLISH)}))
+              AND NOT (lang = 'fr' AND word IN ({quoted(FRENCH)}))
+            GROUP BY lang)
+        SELECT lang, lines, tokens, coalesce(distinct_words, 0) AS distinct_words
+        FROM sizes LEFT JOIN vocabulary USING (lang)"""
+
+
 ORACLE = {
     "text_lines": """
         WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS a FROM documents)
@@ -187,25 +210,24 @@ ORACLE = {
     "word_count_late_clean": _COUNTED,
     "word_count_alpha": _COUNTED + " ORDER BY word",
     "word_top20": _COUNTED + " ORDER BY n DESC, word LIMIT 20",
-    "word_count_equivalence": "SELECT CAST(0 AS BIGINT) AS only_first, CAST(0 AS BIGINT) AS only_second",
+    "word_count_equivalence": "WITH"
+    + _TOKENS.format(text="text", table="documents")
+    + rf""", direct AS (
+            SELECT word, count(*) AS n FROM cleaned WHERE word <> '' AND word NOT IN ({quoted(ENGLISH)}) GROUP BY word),
+        raw AS (SELECT token, count(*) AS n FROM tokens GROUP BY token),
+        late AS (
+            SELECT regexp_replace(lower(token), '[^\p{{L}}\p{{N}}_]', '', 'g') AS word, CAST(sum(n) AS BIGINT) AS n FROM raw
+            GROUP BY ALL),
+        kept AS (SELECT word, n FROM late WHERE word <> '' AND word NOT IN ({quoted(ENGLISH)}))
+        SELECT (SELECT count(*) FROM (SELECT * FROM kept EXCEPT ALL SELECT * FROM direct)) AS only_first,
+               (SELECT count(*) FROM (SELECT * FROM direct EXCEPT ALL SELECT * FROM kept)) AS only_second""",
     "vocab_join": _SHARED + f" WHERE word IN ({quoted(NAMES)})",
     "vocab_shared": _SHARED,
     "avg_by_key": """
         SELECT user_id, round(sum(value), 2) AS total, count(value) AS n, round(sum(value), 2) / count(value) AS mean
         FROM events GROUP BY user_id""",
-    "language_stats": _CLEANED
-    + rf""", sizes AS (
-            SELECT lang, CAST(sum(len(string_split(text, chr(10)))) AS BIGINT) AS lines,
-                   CAST(sum(len(list_filter(regexp_split_to_array(text, '[{SPACE}]+'),
-                                            lambda x: x <> ''))) AS BIGINT) AS tokens
-            FROM documents GROUP BY lang),
-        vocabulary AS (
-            SELECT lang, count(DISTINCT word) AS distinct_words FROM cleaned
-            WHERE word <> '' AND NOT (lang = 'en' AND word IN ({quoted(ENGLISH)}))
-              AND NOT (lang = 'fr' AND word IN ({quoted(FRENCH)}))
-            GROUP BY lang)
-        SELECT lang, lines, tokens, coalesce(distinct_words, 0) AS distinct_words
-        FROM sizes LEFT JOIN vocabulary USING (lang)""",
+    "language_stats": _CLEANED + _stats("text"),
+    "text_comparison": "WITH" + _TOKENS.format(text=_SPLIT, table="documents") + _stats(_SPLIT),
     "strip_boilerplate": "SELECT doc_id, lang, lang <> 'de' AS marked, text AS body FROM documents",
     "clean_lines": _CLEAN_LINES
     + "SELECT array_to_string(words, ' ') AS value FROM listed WHERE len(words) > 0",

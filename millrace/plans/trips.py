@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from millrace.functions.time import WEEKDAYS
 from millrace.operators import boroughs as b
 from millrace.operators import trips as tr
 from millrace.sources import files, scratch, tables
@@ -54,6 +55,16 @@ def trips_with_id(spark, sf):
     return tr.with_id(tables.trips(spark, sf, [*KEYS, "trip_distance", "fare_amount"]))
 
 
+def trips_with_key_id(spark, sf):
+    return tr.with_key_id(tables.trips(spark, sf, [*KEYS, "trip_distance", "fare_amount"]), KEYS)
+
+
+def longest_trips_with_id(spark, sf):
+    """The id carried into an answer."""
+    trips = tr.with_key_id(tables.trips(spark, sf, [*KEYS, "trip_distance"]), KEYS)
+    return tr.top(trips.select("trip_id", "trip_distance"), "trip_distance", 3, ["trip_id"])
+
+
 def trips_id_check(spark, sf):
     """Ids are unique: those of a task are consecutive, and the ranges of the tasks do not meet.
 
@@ -218,6 +229,8 @@ QUERIES = {
         zones_csv_roundtrip,
         trips_derive,
         trips_with_id,
+        trips_with_key_id,
+        longest_trips_with_id,
         trips_id_check,
         trips_in_period,
         trips_shortest_positive,
@@ -305,7 +318,6 @@ def _metrics(label, start, end):
 _PERIOD = """CASE WHEN hour(ts) >= 6 AND hour(ts) < 12 THEN 'morning'
     WHEN hour(ts) >= 12 AND hour(ts) < 18 THEN 'afternoon'
     WHEN hour(ts) >= 18 THEN 'evening' ELSE 'late night' END"""
-_WEEKDAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
 _TIPS = "FROM trips WHERE payment_type = 1"
 _PICKUPS = _TRIPS + "SELECT pu_borough, count(*) AS n_trips FROM boroughs GROUP BY pu_borough"
 
@@ -314,6 +326,12 @@ ORACLE = {
     "zones_csv_roundtrip": _TRIPS + "SELECT LocationID, Borough, Zone FROM zones",
     "trips_derive": _TRIPS
     + "SELECT order_key, line_number, tpep_pickup_datetime, tpep_dropoff_datetime, duration_min FROM trips",
+    "trips_with_key_id": _TRIPS
+    + """SELECT order_key, line_number, trip_distance, fare_amount,
+        CAST(order_key AS VARCHAR) || '-' || CAST(line_number AS VARCHAR) AS trip_id FROM trips""",
+    "longest_trips_with_id": _TRIPS
+    + """SELECT CAST(order_key AS VARCHAR) || '-' || CAST(line_number AS VARCHAR) AS trip_id, trip_distance
+        FROM trips ORDER BY trip_distance DESC NULLS LAST, trip_id LIMIT 3""",
     "trips_id_check": "SELECT count(*) AS n_trips, count(*) AS n_ids FROM lineitem",
     "trips_in_period": _TRIPS
     + f"""SELECT order_key, line_number, tpep_pickup_datetime, tpep_dropoff_datetime, trip_distance FROM trips
@@ -396,14 +414,14 @@ ORACLE = {
     + """, daily AS (SELECT pu_borough, CAST(tpep_pickup_datetime AS DATE) AS day, count(*) AS n
                     FROM boroughs GROUP BY ALL)
         SELECT pu_borough, """
-    + ", ".join(f"round(avg(n) FILTER (dayname(day) = '{d}')) AS {d}" for d in _WEEKDAYS)
+    + ", ".join(f"round(avg(n) FILTER (dayname(day) = '{d}')) AS {d}" for d in WEEKDAYS)
     + " FROM daily GROUP BY pu_borough",
     "weekday_by_borough_all_days": _TRIPS
     + "SELECT pu_borough, "
     + ", ".join(
         f"""round(CAST(count(*) FILTER (dayname(tpep_pickup_datetime) = '{d}') AS DOUBLE)
             / (SELECT count(*) FROM days WHERE dayname(day) = '{d}')) AS {d}"""
-        for d in _WEEKDAYS
+        for d in WEEKDAYS
     )
     + " FROM boroughs GROUP BY pu_borough",
     "borough_averages": _TRIPS
