@@ -116,8 +116,11 @@ def clusters(classes: DataFrame) -> DataFrame:
     keys = F.array(*[F.xxhash64(F.lit(t), F.substring("sig", prefix * t + 1, prefix)) for t in range(TREES)])
     placed = classes.select("rep", F.explode(keys).alias("region"))
     least = placed.groupBy("region").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a <> z").select("region", "a")
-    ties = placed.join(least, "region").where("rep <> a").select("a", F.col("rep").alias("b")).distinct()
-    return components(ties)
+    # A member of up to TREES regions is tied to the least of their least ones, and that one to the others.
+    # Large groups have few least ones, so that these ties are about one for each member.
+    tied = placed.join(least, "region").groupBy("rep").agg(F.collect_set("a").alias("least"))
+    ties = tied.select(F.array_min("least").alias("a"), F.explode(F.array_union("least", F.array("rep"))).alias("b"))
+    return components(ties.where("a <> b").distinct())
 
 
 def _depths(sig: np.ndarray) -> np.ndarray:
