@@ -17,6 +17,7 @@ header and restored. An empty table gives no bundle and an empty result.
 
 from __future__ import annotations
 
+import hashlib
 import struct
 import uuid
 from collections.abc import Iterator
@@ -141,8 +142,6 @@ def make_record(page_id: int | None, url: str | None, payload: bytes, digest: st
 
 def parse_record(raw: bytes, at: int = 0) -> tuple[dict, int]:
     """The record that starts at ``at`` and where the next one starts. The digest of a response is taken anew."""
-    import hashlib
-
     head = raw.index(b"\r\n\r\n", at)
     fields = dict(line.split(": ", 1) for line in raw[at:head].decode().split("\r\n")[1:])
     begin = head + 4

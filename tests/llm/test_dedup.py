@@ -58,8 +58,9 @@ def test_documents_with_everything(spark, width):
     assert result(docs, width) == brute([tuple(r) for r in edge.documents(spark).collect()], width)
 
 
-def test_copies_of_copies(spark):
+def test_copies_of_copies(spark, monkeypatch):
     """A large group of near copies around the threshold, dealt out in several blocks, with chains between them."""
+    monkeypatch.setattr(dedup, "BLOCK", 32)
     pick = random.Random(5)
     vocabulary = [f"w{n}" for n in range(3000)]
     docs, n = [], 0
