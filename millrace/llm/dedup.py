@@ -15,7 +15,8 @@ tasks of at most two blocks. A pair of similarity 0.8 shares no region with a pr
 (1 - 0.8 ** 4) ** 32 = 5e-8.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z. Null and empty texts have an empty set and
-are linked with nothing. Repeated rows fall into one class. Rows with a null id take the component
+are linked with nothing. Repeated rows fall into one class; rows that share an id but not the text are
+one document with the links of all its texts. Rows with a null id take the component
 of their class, which is null when no row of it has an id; they are kept in that case only. Further
 columns do not matter; an empty table gives an empty result.
 """
@@ -177,15 +178,15 @@ def confirmed(docs: DataFrame, members: DataFrame, text: str, width: int) -> Dat
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     dealt = members.join(sizes, "root").withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    keyed = dealt.select("node", "root", "sig", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    keyed = dealt.select("node", "set_hash", "root", "sig", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.col(text).cast("string").alias("text"))
     # A representative's text is met once before it is dealt to the pairs of blocks of its cluster.
     wanted = members.select("node", "set_hash").distinct()
-    own = texts.withColumn("set_hash", F.xxhash64("text")).join(wanted, ["node", "set_hash"]).dropDuplicates(["node"]).drop("set_hash")
-    rows = keyed.join(own, "node")
+    own = texts.withColumn("set_hash", F.xxhash64("text")).join(wanted, ["node", "set_hash"]).dropDuplicates(["node", "set_hash"])
+    rows = keyed.join(own, ["node", "set_hash"])
 
     def work(table: pa.Table) -> pa.Table:
-        table = table.sort_by("node")
+        table = table.sort_by([("node", "ascending"), ("set_hash", "ascending")])
         shingler = Shingler(width)
         sets = [shingler(t) for t in table.column("text").to_pylist()]
         sig = np.stack([np.frombuffer(s, dtype=np.uint16) for s in table.column("sig").to_pylist()])

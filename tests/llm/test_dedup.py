@@ -90,6 +90,13 @@ def test_signature_agreement_follows_similarity():
         assert abs(same - share) < 0.16
 
 
+def test_one_id_with_several_texts(spark):
+    first, second = edge.passage(60), edge.passage(60, 3)
+    docs = [(1, first), (1, second), (2, first + " end"), (3, second + " end"), (4, edge.passage(60, 8))]
+    found = result(spark.createDataFrame(docs, "doc_id long, text string"), 4)
+    assert [(r[0], r[2], r[3]) for r in found] == [(1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False), (4, 4, True)]
+
+
 def test_one_of_each_group_stays(spark):
     docs = edge.documents(spark)
     stay = dedup.deduplicated(docs)
