@@ -16,6 +16,8 @@ and results have fixed names, so further columns do not matter. Empty tables giv
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +39,11 @@ def _pairs(n: Column, width: int) -> Column:
     return F.when(n >= width, F.sequence(F.lit(1), n - (width - 1))).otherwise(F.array().cast("array<int>"))
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that it refers to more than once; the value is worked out one time."""
+    return F.element_at(F.transform(F.array(value), lambda x: use(x)), 1)
+
+
 def hashes(text: Column) -> Column:
     return F.transform(common.words(text), lambda w: F.xxhash64(w))
 
@@ -56,29 +63,33 @@ def repeat_words(h: Column) -> Column:
     Window hashes are sorted with their positions; equal neighbours are repeated. Each repeated
     position covers three words, less what the next one covers again.
     """
-    n = F.size(h)
     windows = F.transform(
-        _pairs(n, 3), lambda i: F.xxhash64(F.element_at(h, i), F.element_at(h, i + 1), F.element_at(h, i + 2))
+        _pairs(F.size(h), 3), lambda i: F.xxhash64(F.element_at(h, i), F.element_at(h, i + 1), F.element_at(h, i + 2))
     )
-    some = F.size(F.array_distinct(windows)) < F.size(windows)
-    marked = F.sort_array(F.transform(windows, lambda w, i: F.struct(w.alias("w"), i.alias("i"))))
     none = F.struct(F.lit(None).cast("long").alias("w"), F.lit(None).cast("int").alias("i"))
-    # Each entry beside the one before and the one after it.
-    beside = F.arrays_zip(
-        marked.alias("own"), F.concat(F.array(none), marked).alias("before"), F.concat(F.slice(marked, F.lit(2), F.size(marked)), F.array(none)).alias("after")
-    )
-    repeated = F.filter(
-        beside,
-        lambda x: F.coalesce(x["own"]["w"] == x["before"]["w"], F.lit(False)) | F.coalesce(x["own"]["w"] == x["after"]["w"], F.lit(False)),
-    )
-    places = F.sort_array(F.transform(repeated, lambda x: x["own"]["i"]))
-    covered = F.aggregate(
-        places,
-        F.struct(F.lit(-3).alias("last"), F.lit(0).alias("n")),
-        lambda s, p: F.struct(p.alias("last"), (s["n"] + F.least(F.lit(3), p - s["last"])).alias("n")),
-        lambda s: s["n"],
-    )
-    return F.when(some, covered).otherwise(0).cast("long")
+
+    def covered(marked: Column) -> Column:
+        # Each entry beside the one before and the one after it.
+        after = F.slice(marked, F.lit(2), F.size(marked))
+        beside = F.arrays_zip(
+            marked.alias("own"), F.concat(F.array(none), marked).alias("before"), F.concat(after, F.array(none)).alias("after")
+        )
+        repeated = F.filter(
+            beside,
+            lambda x: F.coalesce(x["own"]["w"] == x["before"]["w"], F.lit(False)) | F.coalesce(x["own"]["w"] == x["after"]["w"], F.lit(False)),
+        )
+        return F.aggregate(
+            F.sort_array(F.transform(repeated, lambda x: x["own"]["i"])),
+            F.struct(F.lit(-3).alias("last"), F.lit(0).alias("n")),
+            lambda s, p: F.struct(p.alias("last"), (s["n"] + F.least(F.lit(3), p - s["last"])).alias("n")),
+            lambda s: s["n"],
+        )
+
+    def counted(w: Column) -> Column:
+        marked = F.sort_array(F.transform(w, lambda x, i: F.struct(x.alias("w"), i.alias("i"))))
+        return F.when(F.size(F.array_distinct(w)) < F.size(w), _once(marked, covered)).otherwise(0)
+
+    return _once(windows, counted).cast("long")
 
 
 def base(docs: DataFrame, text: str = "text") -> dict[str, Column]:
@@ -89,7 +100,7 @@ def base(docs: DataFrame, text: str = "text") -> dict[str, Column]:
         "n_words": F.size("h").cast("long"),
         "word_chars": F.length(F.translate(whole, common.SPACES, "")).cast("long"),
         "n_symbols": (F.length(whole) - F.length(F.translate(whole, SYMBOLS, ""))).cast("long"),
-        "n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
+        "n_dup_lines": _once(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
         "n_repeat_words": repeat_words(F.col("h")),
     }
 
