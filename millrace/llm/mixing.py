@@ -3,7 +3,7 @@
 Each source gets as many whole passes as its target holds (0, 1 or 2). For the rest of the budget
 documents are counted by exact length: every length gives its share, rounded down, then longer
 lengths give one document more while it fits, and a bounded-knapsack program over the lengths left
-fills what remains, which is less than the longest document: to the last word where that can be
+fills all that remains, which is no more than the longest document: to the last word where that can be
 done, else to the nearest sum below or above. The documents of a length are chosen by a seeded hash.
 
 Lengths are the only thing a source is reduced to: the program for a source sees one row per
@@ -18,8 +18,10 @@ gives an empty result; a table without words gives targets of 0. Further columns
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,7 +32,6 @@ WEIGHTS = (5, 2, 1)  # of the sources in order, repeating
 SHARE = (3, 2)  # all targets together: so many halves of all words
 MOST = 2  # a source's target, in times of its size
 RANGES = 1 << 10
-DP_BUDGET = 1 << 16  # words, at most, that the knapsack program fills
 SEED = 20240101
 
 
@@ -82,6 +83,14 @@ def targets(lengths: DataFrame) -> DataFrame:
     return levelled.select("name", "source_size", target.alias("target"))
 
 
+def _ones(bits: int) -> np.ndarray:
+    """Places of the ones of a number."""
+    held = np.frombuffer(bits.to_bytes((bits.bit_length() + 7) // 8, "little"), np.uint8)
+    some = np.flatnonzero(held)
+    row, bit = np.nonzero(np.unpackbits(held[some, None], axis=1, bitorder="little"))
+    return 8 * some[row] + bit
+
+
 def fit(sizes: list[int], counts: list[int], budget: int) -> list[int]:
     """How many documents of each length to take so that their words come as near to the budget as they can."""
     total = sum(s * n for s, n in zip(sizes, counts, strict=True))
@@ -90,33 +99,43 @@ def fit(sizes: list[int], counts: list[int], budget: int) -> list[int]:
     take = [n * budget // total if s else 0 for s, n in zip(sizes, counts, strict=True)]
     left = budget - sum(s * t for s, t in zip(sizes, take, strict=True))
     order = sorted((i for i, s in enumerate(sizes) if s), key=lambda i: -sizes[i])
-    longest = sizes[order[0]]
     for i in order:
-        if left <= longest and left <= DP_BUDGET:
-            break  # the program does the rest
+        if left <= sizes[order[0]]:
+            break  # the program does the rest; one pass gets here, as every share lost less than one document
         if sizes[i] <= left and take[i] < counts[i]:
             take[i] += 1
             left -= sizes[i]
-    room = min(left, DP_BUDGET)
-    most = room + min(longest, DP_BUDGET)  # a sum beyond the budget may be nearer than any below
+    fitting = [i for i in order if sizes[i] <= left and take[i] < counts[i]]
+    # A sum beyond the rest may be nearer than any below: of fitting lengths, or one document of the next longer length.
+    most = left + (sizes[fitting[0]] if fitting else 0)
+    longer = min((i for i in order if sizes[i] > left and take[i] < counts[i]), key=lambda i: sizes[i], default=None)
+    unit = math.gcd(*[sizes[i] for i in fitting]) or 1
+    goal = (left + (unit - 1) // 2) // unit * unit  # no sum of fitting lengths is nearer
     mask, reached, steps = (1 << (most + 1)) - 1, 1, []
-    for i in order:
+    first = np.zeros(most + 1, np.int32)  # the step that reached a sum
+    for i in fitting:
         spare, times = min(counts[i] - take[i], most // sizes[i]), 1
-        while spare > 0 and not reached >> room & 1:
+        while spare > 0 and not reached >> goal & 1:
             part = min(times, spare)  # 1, 2, 4, ... and a last part make up any number to spare
-            steps.append((i, part, reached))
-            reached |= (reached << (part * sizes[i])) & mask
+            fresh = (reached << (part * sizes[i])) & mask & ~reached
+            if fresh:
+                first[_ones(fresh)] = len(steps)
+                steps.append((i, part))
+                reached |= fresh
             spare, times = spare - part, times * 2
-        if reached >> room & 1:
+        if reached >> goal & 1:
             break
-    below = (reached & ((1 << (room + 1)) - 1)).bit_length() - 1
-    beyond = reached >> (room + 1)
-    above = room + (beyond & -beyond).bit_length() if beyond else None
-    at = above if above is not None and above - room < room - below else below
-    for i, part, before in reversed(steps):
-        if not before >> at & 1:
-            take[i] += part
-            at -= part * sizes[i]
+    below = (reached & ((1 << (left + 1)) - 1)).bit_length() - 1
+    beyond = reached >> (left + 1)
+    above = left + (beyond & -beyond).bit_length() if beyond else None
+    if longer is not None and (above is None or sizes[longer] < above) and sizes[longer] - left < left - below:
+        take[longer] += 1
+        return take
+    at = above if above is not None and above - left < left - below else below
+    while at:  # what a step added to was reached by steps before it
+        i, part = steps[first[at]]
+        take[i] += part
+        at -= part * sizes[i]
     return take
 
 

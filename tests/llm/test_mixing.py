@@ -93,3 +93,26 @@ def test_single_documents_are_fitted_best(sizes, budget):
     best = min(abs(x - budget) for x in sums)
     if budget <= max(sizes) or budget >= sum(sizes):
         assert abs(words - budget) == best if budget < sum(sizes) else words == sum(sizes)
+
+
+def test_a_long_document_leaves_no_gap():
+    sizes, counts = [*range(75, 125), 500_000], [2000] * 50 + [1]
+    take = mixing.fit(sizes, counts, 5_200_000)
+    assert all(0 <= t <= n for t, n in zip(take, counts, strict=True))
+    assert sum(s * t for s, t in zip(sizes, take, strict=True)) == 5_200_000
+
+
+def test_a_longer_document_competes():
+    assert mixing.fit([200_000, 300_000], [1, 1], 190_000) == [1, 0]
+    assert mixing.fit([200_000, 300_000], [1, 1], 90_000) == [0, 0]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 400_000), min_size=1, max_size=8, unique=True), st.integers(0, 400_000))
+def test_long_documents_are_fitted_best(sizes, budget):
+    sums = {0}
+    for s in sizes:
+        sums |= {x + s for x in sums}
+    if budget <= max(sizes):
+        words = sum(s * t for s, t in zip(sizes, mixing.fit(sizes, [1] * len(sizes), budget), strict=True))
+        assert abs(words - budget) == min(abs(x - budget) for x in sums)
