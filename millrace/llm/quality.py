@@ -1,11 +1,11 @@
 """Quality rules with a hashed n-gram log-likelihood ratio, all in DataFrame expressions.
 
 Words and neighbouring words are hashed into ``CELLS`` cells. The raw multinomial is counted over
-all documents, the trusted one over at most ``TRUSTED`` documents labelled good. A document's score
+all documents, the trusted one over all documents labelled good. A document's score
 is its mean log ratio of the two over its n-grams. Documents below a threshold go. Of the histogram
 edges that keep ``KEEP`` of the good labelled documents, those that remove the most bad ones form
 a range; the threshold is a third of the way up in it, nearer the bad ones. It is set on a fifth of
-the labelled documents, which the trusted sample leaves out: its own documents score higher than
+the labelled documents, which the trusted ones leave out: its own documents score higher than
 others like them.
 
 Null and empty texts have no words and fail the base rules. Repeated rows are judged alike. Labels
@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 from millrace.llm import common
 
 CELLS = 1 << 16
-TRUSTED = 20_000  # documents of the trusted sample, at most
 KEEP = 0.999
 BINS_PER_NAT = 200
 HALF_BINS = 4000
@@ -116,13 +115,11 @@ def held_out() -> Column:
 
 
 def weights(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """One row ``w``: the log ratio of every cell, from all documents and the trusted sample."""
+    """One row ``w``: the log ratio of every cell, from all documents and the trusted ones."""
     good = labels.where(F.col("good") & ~held_out()).select(F.col("doc_id").alias("trusted_id"))
-    # At most TRUSTED ids, chosen by hash: its size is bounded by the parameter, so it may be broadcast.
-    sample = common.stored(good.orderBy(F.xxhash64("trusted_id"), "trusted_id").limit(TRUSTED), "trusted")
-    flagged = docs.join(F.broadcast(sample), docs["doc_id"] == sample["trusted_id"], "left").select(
-        F.col("trusted_id").isNotNull().cast("long").alias("t"), F.explode(cells(F.col("h"))).alias("cell")
-    )
+    # Texts are joined and hashed afterwards: they are moved if the ids are too many for a broadcast.
+    joined = docs.join(good, docs["doc_id"] == good["trusted_id"], "left").withColumn("h", hashes(F.col("text")))
+    flagged = joined.select(F.col("trusted_id").isNotNull().cast("long").alias("t"), F.explode(cells(F.col("h"))).alias("cell"))
     counted = flagged.groupBy("cell").agg(F.count("*").alias("raw"), F.sum("t").alias("trusted"))
     every = docs.sparkSession.range(CELLS).select(F.col("id").cast("int").alias("cell"))
     dense = every.join(counted, "cell", "left").select(
@@ -141,8 +138,9 @@ def weights(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def scored(docs: DataFrame, labels: DataFrame, text: str = "text") -> DataFrame:
     """``doc_id``, the base counts, ``base_failed`` and ``score`` of every document, stored."""
-    rows = docs.select("doc_id", F.col(text).cast("string").alias("text")).withColumn("h", hashes(F.col("text")))
-    ratios = common.stored(weights(rows.select("doc_id", "h"), labels), "quality-weights")
+    rows = docs.select("doc_id", F.col(text).cast("string").alias("text"))
+    ratios = common.stored(weights(rows, labels), "quality-weights")
+    rows = rows.withColumn("h", hashes(F.col("text")))
     # A lambda may not hold a subquery, but may refer to its column; as there is one reference, the
     # optimiser puts the subquery in its place and no row carries the ratios.
     rows = rows.withColumn("w", ratios.scalar())

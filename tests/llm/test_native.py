@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 import edge
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from millrace.llm import quality, secrets, urls
 
@@ -284,3 +285,15 @@ def test_quality_of_nothing(spark):
     found = quality.judge(edge.empty(spark), edge.empty(spark, "doc_id long, quality int"))
     assert found.count() == 0
     assert {"doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"} <= set(found.columns)
+
+
+def test_all_good_documents_are_trusted(spark):
+    """Labels without a document take no place of those with one."""
+    rows = quality_rows()
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(n, q == 1) for n, _, q in rows if q is not None], "doc_id long, good boolean")
+    strange = spark.range(1000, 51_000).select(F.col("id").alias("doc_id"), F.lit(True).alias("good"))
+    first, second = quality.scored(docs, labels), quality.scored(docs, labels.union(strange))
+    wanted = {r.doc_id: r.score for r in first.collect()}
+    assert any(wanted.values())
+    assert {r.doc_id: r.score for r in second.collect()} == pytest.approx(wanted, abs=1e-12)
