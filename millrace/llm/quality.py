@@ -3,14 +3,14 @@
 Words and neighbouring words are hashed into ``CELLS`` cells. The raw multinomial is counted over
 all documents, the trusted one over all documents labelled good. A document's score
 is its mean log ratio of the two over its n-grams. Documents below a threshold go. Of the histogram
-edges that keep ``KEEP`` of the good labelled documents, those that remove the most bad ones form
-a range; the threshold is a third of the way up in it, nearer the bad ones. It is set on a fifth of
+edges, those with the least mean error of both classes of labelled documents form a range; the
+threshold is a third of the way up in it, nearer the bad ones. It is set on a fifth of
 the labelled documents, which the trusted ones leave out: its own documents score higher than
 others like them.
 
 Null and empty texts have no words and fail the base rules. Repeated rows are judged alike. Labels
 with null ids or values count for nothing; a document labelled more than once is good if its labels
-agree. Without labels every document that passes the base rules is kept. Columns are taken by name
+agree. Without held-out labels of both classes every document that passes the base rules is kept. Columns are taken by name
 and results have fixed names, so further columns do not matter. Empty tables give empty results.
 """
 
@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 from millrace.llm import common
 
 CELLS = 1 << 16
-KEEP = 0.999
 BINS_PER_NAT = 200
 HALF_BINS = 4000
 HELD_OUT = 5  # one in so many labelled documents sets the threshold
@@ -163,20 +162,28 @@ def threshold(rows: DataFrame, labels: DataFrame) -> DataFrame:
         F.col("good").cast("long").alias("good"),
     )
     counted = bins.groupBy("bin").agg(F.sum("good").alias("g"), F.sum(1 - F.col("good")).alias("b"))
-    table = counted.agg(F.sort_array(F.collect_list(F.struct("bin", "g", "b"))).alias("t"), F.sum("g").alias("all_good"))
+    table = counted.agg(
+        F.sort_array(F.collect_list(F.struct("bin", "g", "b"))).alias("t"), F.sum("g").alias("all_good"), F.sum("b").alias("all_bad")
+    )
+    # Without both classes there is nothing to tell apart.
+    table = table.where("all_good > 0 and all_bad > 0")
     zero, none = F.lit(0).cast("long"), F.lit(None).cast("int")
 
     def step(s: Column, x: Column) -> Column:
-        g = s["g"] + x["g"]
-        over = g > (1 - KEEP) * F.col("all_good")
+        g, b = s["g"] + x["g"], s["b"] + x["b"]
+        # Of dropping all bins up to x; of equal errors the lower edge, which drops less, stays.
+        error = g / F.col("all_good") + (F.col("all_bad") - b) / F.col("all_bad")
+        better = error < s["error"]
         return F.struct(
             g.alias("g"),
-            # Dropping all bins up to x: allowed while enough good ones stay, and of use when x holds bad ones.
-            F.when(~over & (x["b"] > 0), x["bin"] + 1).otherwise(s["low"]).alias("low"),
-            F.when(over, F.coalesce(s["high"], x["bin"])).otherwise(s["high"]).alias("high"),
+            b.alias("b"),
+            F.when(better, error).otherwise(s["error"]).alias("error"),
+            F.when(better, x["bin"] + 1).otherwise(s["low"]).alias("low"),
+            F.when(~better, F.coalesce(s["high"], x["bin"])).alias("high"),
         )
 
-    walk = F.aggregate("t", F.struct(zero.alias("g"), none.alias("low"), none.alias("high")), step)
+    start = F.struct(zero.alias("g"), zero.alias("b"), F.lit(1.0).alias("error"), none.alias("low"), none.alias("high"))
+    walk = F.aggregate("t", start, step)
     found = table.select(walk.alias("w")).select("w.low", F.coalesce("w.high", "w.low").alias("high"))
     edge = F.col("low") + F.floor((F.col("high") - F.col("low")) / 3)
     return found.select((edge / F.lit(float(BINS_PER_NAT))).alias("threshold"))

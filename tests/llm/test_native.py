@@ -297,3 +297,14 @@ def test_all_good_documents_are_trusted(spark):
     wanted = {r.doc_id: r.score for r in first.collect()}
     assert any(wanted.values())
     assert {r.doc_id: r.score for r in second.collect()} == pytest.approx(wanted, abs=1e-12)
+
+
+def test_a_few_wrong_labels_do_not_move_the_threshold(spark):
+    pick = random.Random(9)
+    rows = [(n, False, (-1 if n % 4 == 0 else 1) + pick.uniform(-0.3, 0.3)) for n in range(4000)]
+    flipped = [(n, (n % 4 != 0) ^ (pick.random() < 0.02)) for n in range(4000)]
+    scores = spark.createDataFrame(rows, "doc_id long, base_failed boolean, score double")
+    (found,) = quality.threshold(scores, spark.createDataFrame(flipped, "doc_id long, good boolean")).collect()
+    assert -0.7 < found.threshold < 0.7
+    one = spark.createDataFrame([(n, False) for n, _ in flipped], "doc_id long, good boolean")
+    assert [r.threshold for r in quality.threshold(scores, one).collect() if r.threshold is not None] == []
