@@ -1,14 +1,15 @@
-"""Near duplicates: an LSH forest over MinHash signatures, confirmed on whole shingle sets.
+"""Near duplicates: MinHash signatures in bands of fixed depth, confirmed on whole shingle sets.
 
 A document's set holds the 64-bit hashes of its word shingles. Documents with equal sets form a
 class, and only a class's representative (its least id) goes on. A signature has ``TREES * DEPTH``
-minima. Each tree of the forest is one order of it, starting at another place; documents that share
-the first ``DEPTH`` minima of an order are a region of that tree, however many there are. Every region
+minima. Each tree is one order of it, starting at another place; documents that share the first
+``DEPTH`` minima of an order, a band, are a region of that tree, however many there are. No order is
+sorted and no depth adapts to a region: deeper prefixes only order pairs. Every region
 ties its members to its least one, and the components of these ties are the clusters: all pairs
 that share a region lie within one cluster.
 
-Within a cluster pairs are taken by the longest prefix that any tree's order gives them in common,
-from deep to shallow: dense regions are settled at great depth, sparse ones down to ``DEPTH``. A pair
+Within a cluster the pairs that share a region are taken by the longest prefix that any tree's order
+gives them in common (up to four times ``DEPTH``), from deep to shallow. A pair
 is confirmed on the whole sets, unless it is known to be connected. Clusters beyond
 ``BLOCK`` members are dealt out in pairs of blocks, so that every pair of members still meets, in
 tasks of at most two blocks. A pair of similarity 0.8 shares no region with a probability of
