@@ -8,7 +8,7 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path[:0] = [ROOT, os.path.dirname(os.path.abspath(__file__))]
 
-SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+from helpers import SF_DIR  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -32,14 +32,3 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def sf_dir():
     return SF_DIR
-
-
-def rows(frame, *columns):
-    """Rows as a sorted list of tuples."""
-    picked = frame.select(*columns) if columns else frame
-    return sorted((tuple(row) for row in picked.collect()), key=repr)
-
-
-def plan(frame) -> str:
-    """The physical plan."""
-    return frame._jdf.queryExecution().executedPlan().toString()

@@ -6,7 +6,7 @@ import json
 from datetime import datetime, timezone
 
 import pytest
-from conftest import plan, rows
+from helpers import plan, rows
 from pyspark.sql import functions as F
 
 from millrace.operators import edits as e

@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime, timedelta, timezone
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import types as T
 
 from millrace.operators import service

@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import date, datetime
 
 import pytest
-from conftest import plan, rows
+from helpers import plan, rows
 from pyspark.sql import functions as F
 
 from millrace.functions import time as tm

@@ -6,7 +6,7 @@ import re
 from collections import Counter
 
 import pytest
-from conftest import plan, rows
+from helpers import plan, rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
