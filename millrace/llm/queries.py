@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from millrace.llm import ann, bpe, dedup, langid, mixing, quality, secrets, token_counts, urls, warc
+from millrace.llm import ann, bpe, dedup, extraction, langid, mixing, negatives, quality, secrets, spelling, token_counts, urls, warc
 from millrace.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -89,6 +89,23 @@ def op10_ann(spark, sf_dir):
     return ann.search(table(spark, sf_dir, "embeddings"), every=50)
 
 
+def op11_spelling(spark, sf_dir):
+    """The vocabulary of all documents with the more frequent spelling of each word, where it has one."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark, sf_dir):
+    """Hard negatives of every hundredth vector; every seventh row is labelled one further, as a wrong label would be."""
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(vectors.withColumn("label", label), every=100).drop("positive_rank")
+
+
+def op13_html(spark, sf_dir):
+    """The main text of every page."""
+    return extraction.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -102,6 +119,9 @@ QUERIES = {
         op8_quality,
         op9_langid,
         op10_ann,
+        op11_spelling,
+        op12_hard_negatives,
+        op13_html,
     )
 }
 
@@ -113,4 +133,21 @@ ORACLE = {
                CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
         FROM g""",
+    "op12_hard_negatives": """WITH v AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS q
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+              AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+        s AS (SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+                     CAST(list_inner_product(a.q, r.q) AS BIGINT) AS score
+              FROM v a JOIN v r ON a.vec_id <> r.vec_id AND len(a.q) = len(r.q) WHERE a.vec_id % 100 = 0),
+        p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+              QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT p.anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, s.vec_id AS negative_id,
+               positive_score, s.score AS negative_score
+        FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+             AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+        WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id)
+        QUALIFY row_number() OVER w <= 10""",
 }

@@ -1,0 +1,122 @@
+"""Hard negatives against scores of all pairs in whole numbers."""
+
+from __future__ import annotations
+
+import math
+import random
+
+import compare
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from millrace.llm import negatives
+from millrace.llm.queries import ORACLE, QUERIES
+
+VECTORS = "vec_id long, embedding array<float>, label int"
+COLUMNS = ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
+
+
+def brute(rows, every=100, positives=5, negatives=10, low=30, high=90):
+    part = []
+    for vec_id, vector, label in rows:
+        if label is None or vector is None or any(x is None or not math.isfinite(x) for x in vector):
+            continue
+        part.append((vec_id, [math.floor(256 * float(np.float32(x))) for x in vector], label))
+    anchors = {}
+    for vec_id, q, label in part:
+        if vec_id is not None and vec_id % every == 0:
+            anchors[vec_id] = min(anchors.get(vec_id, (label, q)), (label, q))
+    found = []
+    for a, (label, q) in anchors.items():
+        others = [(-sum(x * y for x, y in zip(q, r)), v is None, v or 0, other) for v, r, other in part if v != a and len(r) == len(q)]
+        others.sort()
+        for minus, none, v, _ in [o for o in others if o[3] == label][:positives]:
+            fits = [o for o in others if o[3] != label and low * -minus <= 100 * -o[0] <= high * -minus][:negatives]
+            found += [(a, None if none else v, i, None if n else w, -minus, -s) for i, (s, n, w, _) in enumerate(fits, 1)]
+    return sorted(found, key=repr)
+
+
+def mined(spark, rows, **settings):
+    frame = spark.createDataFrame(rows, VECTORS) if isinstance(rows, list) else rows
+    return sorted((tuple(r) for r in negatives.mine(frame, **settings).select(*COLUMNS).collect()), key=repr)
+
+
+def random_rows(seed: int, n: int, wide: int = 8):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(4, wide))
+    x = (centres[rng.integers(0, 4, n)] + 0.6 * rng.normal(size=(n, wide))).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    return [(i, [float(v) for v in row], int(rng.integers(0, 4))) for i, row in enumerate(x)]
+
+
+@pytest.mark.parametrize("sizes", [{}, {"rows_a_block": 50, "anchors_a_chunk": 3}])
+def test_equals_all_pairs(spark, sizes):
+    rows = random_rows(1, 400)
+    got = mined(spark, rows, every=20, **sizes)
+    assert got == brute(rows, every=20) and got
+
+
+def test_ties_repeats_and_what_takes_no_part(spark):
+    rows = random_rows(2, 120)
+    same = rows[7][1]
+    rows += [(i, same, i % 3) for i in range(200, 280)]  # many copies of one vector
+    rows += [(100, rows[3][1], 1), (100, rows[3][1], 1), (30, rows[30][1], rows[30][2]), (None, same, 1), (None, rows[9][1], 2)]
+    rows += [(300, None, 1), (400, same, None), (500, [float("nan")] * 8, 1), (600, [None] + same[1:], 1), (700, [float("inf")] * 8, 2)]
+    rows += [(800, [0.0] * 8, 1), (801, [0.0] * 8, 2), (900, [0.5], 1), (901, [0.4], 1), (902, [0.3], 2), (1000, [], 1), (1001, [], 1), (1002, [], 2)]
+    got = mined(spark, rows, every=10, rows_a_block=40, anchors_a_chunk=5)
+    assert got == brute(rows, every=10)
+    anchors = {r[0] for r in got}
+    assert {800, 900, 1000} <= anchors and not anchors & {300, 400, 500, 600, 700}
+
+
+def test_larger_numbers_stay_exact(spark):
+    rng = random.Random(4)
+    for size in (1e4, 1e6):
+        rows = [(i, [float(np.float32(rng.uniform(-size, size))) for _ in range(5)], i % 2) for i in range(60)]
+        assert mined(spark, rows, every=7) == brute(rows, every=7)
+    rows = [(i, [float(np.float32(rng.uniform(-1e30, 1e30))) for _ in range(5)], i % 2) for i in range(20)]
+    assert all(abs(r[5]) <= negatives.WIDEST for r in mined(spark, rows, every=7))
+
+
+def test_fewer_rows_than_asked_for(spark):
+    rows = [(0, [1.0, 0.0], 1), (1, [0.9, 0.0], 1), (2, [0.5, 0.5], 2), (100, [0.0, 1.0], 3)]
+    assert mined(spark, rows) == brute(rows) == [(0, 1, 1, 2, 58880, 32768)]
+    assert mined(spark, spark.createDataFrame([], VECTORS)) == []
+    assert mined(spark, [(1, [1.0], 1)]) == []
+
+
+def test_clashing_columns_change_nothing(spark):
+    rows = random_rows(6, 150)
+    frame = spark.createDataFrame(rows, VECTORS)
+    clashing = frame.selectExpr("*", *[f"'x' as {n}" for n in "row_id q place block chunk anchor_id score rank positive_scores".split()])
+    assert mined(spark, clashing, every=10) == mined(spark, frame, every=10)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 10**6), st.integers(1, 60), st.integers(1, 5), st.integers(1, 4))
+def test_the_walk_stops_late_enough(seed, n, wide, k):
+    rng = np.random.default_rng(seed)
+    x = rng.integers(-4, 5, size=(n, wide)).astype(np.float64)
+    anchor = rng.integers(-4, 5, size=wide).astype(np.float64)
+    ids, allowed = rng.permutation(n), rng.random(n) < 0.7
+    windows = [(-np.inf, np.inf), (-3, 12)]
+    got, _ = negatives.best(negatives.SortedLists(x), anchor, allowed, windows, ids, np.zeros(n, dtype=bool), k)
+    scores = x @ anchor
+    for (low, high), first in zip(windows, got):
+        every = sorted((-scores[r], ids[r]) for r in range(n) if allowed[r] and low <= scores[r] <= high)
+        assert [(-scores[r], ids[r]) for r in first] == every[:k]
+
+
+def test_the_walk_can_stop_early():
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(4000, 2)).round(3)
+    lists = negatives.SortedLists(x)
+    met = [m.sum() for m, _, top in lists.walk(np.array([1.0, -2.0]))]
+    _, scores = negatives.best(lists, np.array([1.0, -2.0]), np.ones(4000, dtype=bool), [(-np.inf, np.inf)], np.arange(4000), np.zeros(4000, dtype=bool), 5)
+    assert met[0] < 100 and np.count_nonzero(scores) < 2000
+
+
+def test_query_equals_its_sql(spark, sf_dir):
+    assert not compare.differences(QUERIES["op12_hard_negatives"](spark, sf_dir), compare.connect(sf_dir), ORACLE["op12_hard_negatives"])
