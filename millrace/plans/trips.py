@@ -55,14 +55,33 @@ def trips_with_id(spark, sf):
     return tr.with_id(tables.trips(spark, sf, [*KEYS, "trip_distance", "fare_amount"]))
 
 
+def trips_numbered(spark, sf):
+    """Trips with ids from 1 to their number, in the order of all columns of a line."""
+    columns = [*KEYS, "trip_distance", "fare_amount"]
+    return tables.trips(spark, sf, columns, tables.numbered_lines(spark, sf), ["trip_id"])
+
+
 def trips_with_key_id(spark, sf):
-    return tr.with_key_id(tables.trips(spark, sf, [*KEYS, "trip_distance", "fare_amount"]), KEYS)
+    lines = tables.numbered_lines(spark, sf, "trip_number")
+    trips = tables.trips(spark, sf, [*KEYS, "trip_distance", "fare_amount"], lines, ["trip_number"])
+    return tr.with_key_id(trips, KEYS).drop("trip_number")
 
 
 def longest_trips_with_id(spark, sf):
     """The id carried into an answer."""
-    trips = tr.with_key_id(tables.trips(spark, sf, [*KEYS, "trip_distance"]), KEYS)
-    return tr.top(trips.select("trip_id", "trip_distance"), "trip_distance", 3, ["trip_id"])
+    trips = tables.trips(spark, sf, ["trip_distance"], tables.numbered_lines(spark, sf), ["trip_id"])
+    return tr.top(trips, "trip_distance", 3, ["trip_id"])
+
+
+def trips_numbered_check(spark, sf):
+    """The ids that answers carry: as many as trips, none twice, from 1 to the number of trips."""
+    ids = tables.numbered_lines(spark, sf)
+    return ids.agg(
+        F.count("*").alias("n_trips"),
+        F.count_distinct("trip_id").alias("n_ids"),
+        F.min("trip_id").alias("least"),
+        F.max("trip_id").alias("largest"),
+    )
 
 
 def trips_id_check(spark, sf):
@@ -86,10 +105,10 @@ def trips_in_period(spark, sf):
     return tr.in_period(tables.trips(spark, sf, [*KEYS, *TIMES, "trip_distance"]), *YEAR_1)
 
 
-def _contenders(spark, sf, measure, k, ends, where="true"):
+def _contenders(spark, sf, measure, k, ends, where="true", lines=None):
     """Lines that may be among the k first by a measure of their own, found before anything is joined."""
     columns = [tables.TRIP_VIEW[name] for name in (measure, *KEYS)]
-    lines = tables.table(spark, sf, "lineitem").where(where)
+    lines = (tables.table(spark, sf, "lineitem") if lines is None else lines).where(where)
     return tr.contenders(lines, columns[0], k, columns[1:], ends)
 
 
@@ -198,9 +217,10 @@ def borough_averages(spark, sf):
 
 
 def fare_extremes_borough(spark, sf):
-    lines = _contenders(spark, sf, "fare_amount", 3, [True, False])
+    lines = _contenders(spark, sf, "fare_amount", 3, [True, False], lines=tables.numbered_lines(spark, sf))
     columns = [*KEYS, "fare_amount", "trip_distance", "PULocationID", "DOLocationID"]
-    return b.fare_extremes(b.with_boroughs(tables.trips(spark, sf, columns, lines), tables.zones(spark, sf)), KEYS)
+    trips = tables.trips(spark, sf, columns, lines, ["trip_id"])
+    return b.fare_extremes(b.with_boroughs(trips, tables.zones(spark, sf)), [*KEYS, "trip_id"])
 
 
 def period_metrics(spark, sf):
@@ -229,6 +249,8 @@ QUERIES = {
         zones_csv_roundtrip,
         trips_derive,
         trips_with_id,
+        trips_numbered,
+        trips_numbered_check,
         trips_with_key_id,
         longest_trips_with_id,
         trips_id_check,
@@ -288,6 +310,16 @@ boroughs AS (
 days AS (SELECT CAST(tpep_pickup_datetime AS DATE) AS day, count(*) AS n_trips FROM trips GROUP BY ALL),
 hours AS (SELECT CAST(hour(ts) AS INTEGER) AS hour, count(*) AS n_trips FROM events GROUP BY ALL)
 """
+# The same with the number of a line in the order of all its columns.
+_NUMBERED = _TRIPS.replace("SELECT l_orderkey AS", "SELECT trip_id, l_orderkey AS").replace(
+    "FROM lineitem",
+    """FROM (SELECT *, row_number() OVER (ORDER BY l_orderkey NULLS FIRST, l_partkey NULLS FIRST, l_suppkey NULLS FIRST,
+        l_linenumber NULLS FIRST, l_quantity NULLS FIRST, l_extendedprice NULLS FIRST, l_discount NULLS FIRST,
+        l_tax NULLS FIRST, l_returnflag NULLS FIRST, l_linestatus NULLS FIRST, l_shipdate NULLS FIRST) AS trip_id
+        FROM lineitem)""",
+)
+
+
 def _extreme(columns, question, by, k, where="true"):
     shown = ", ".join(columns)
     return f"(SELECT {shown}, '{question}' AS question FROM trips WHERE {where} ORDER BY {by}, {shown} LIMIT {k})"
@@ -326,12 +358,14 @@ ORACLE = {
     "zones_csv_roundtrip": _TRIPS + "SELECT LocationID, Borough, Zone FROM zones",
     "trips_derive": _TRIPS
     + "SELECT order_key, line_number, tpep_pickup_datetime, tpep_dropoff_datetime, duration_min FROM trips",
-    "trips_with_key_id": _TRIPS
+    "trips_numbered": _NUMBERED + "SELECT order_key, line_number, trip_distance, fare_amount, trip_id FROM trips",
+    "trips_numbered_check": """SELECT count(*) AS n_trips, count(*) AS n_ids, CAST(1 AS BIGINT) AS least, count(*) AS largest
+        FROM lineitem""",
+    "trips_with_key_id": _NUMBERED
     + """SELECT order_key, line_number, trip_distance, fare_amount,
-        CAST(order_key AS VARCHAR) || '-' || CAST(line_number AS VARCHAR) AS trip_id FROM trips""",
-    "longest_trips_with_id": _TRIPS
-    + """SELECT CAST(order_key AS VARCHAR) || '-' || CAST(line_number AS VARCHAR) AS trip_id, trip_distance
-        FROM trips ORDER BY trip_distance DESC NULLS LAST, trip_id LIMIT 3""",
+        concat_ws('-', order_key, line_number, trip_id) AS trip_id FROM trips""",
+    "longest_trips_with_id": _NUMBERED
+    + "SELECT trip_distance, trip_id FROM trips ORDER BY trip_distance DESC NULLS LAST, trip_id LIMIT 3",
     "trips_id_check": "SELECT count(*) AS n_trips, count(*) AS n_ids FROM lineitem",
     "trips_in_period": _TRIPS
     + f"""SELECT order_key, line_number, tpep_pickup_datetime, tpep_dropoff_datetime, trip_distance FROM trips
@@ -427,10 +461,10 @@ ORACLE = {
     "borough_averages": _TRIPS
     + """SELECT pu_borough, round(avg(trip_distance), 2) AS mean_distance, round(avg(fare_amount), 2) AS mean_fare,
         count(*) AS n_trips FROM boroughs GROUP BY pu_borough""",
-    "fare_extremes_borough": _TRIPS
+    "fare_extremes_borough": _NUMBERED
     + " UNION ALL ".join(
-        f"""(SELECT order_key, line_number, fare_amount, trip_distance, pu_borough, do_borough, '{q}' AS question
-            FROM boroughs ORDER BY fare_amount {o}, order_key, line_number, fare_amount, trip_distance,
+        f"""(SELECT order_key, line_number, trip_id, fare_amount, trip_distance, pu_borough, do_borough, '{q}' AS question
+            FROM boroughs ORDER BY fare_amount {o}, order_key, line_number, trip_id, trip_distance,
             pu_borough NULLS FIRST, do_borough NULLS FIRST LIMIT 3)"""
         for q, o in (("highest", "DESC NULLS LAST"), ("lowest", "NULLS FIRST"))
     ),

@@ -12,6 +12,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.operators import numbering
 from millrace.sources import scratch
 
 
@@ -72,12 +73,24 @@ def _with_ends(rows: DataFrame, spark: SparkSession, sf_dir: str, columns: list[
 
 
 def trips(
-    spark: SparkSession, sf_dir: str, columns: Iterable[str] = tuple(TRIP_VIEW), lines: DataFrame | None = None
+    spark: SparkSession,
+    sf_dir: str,
+    columns: Iterable[str] = tuple(TRIP_VIEW),
+    lines: DataFrame | None = None,
+    keep: Iterable[str] = (),
 ) -> DataFrame:
-    """The trip view, one row per order line, or per line of ``lines`` where only some are wanted."""
+    """The trip view, one row per order line, or per line of ``lines`` where only some are wanted.
+
+    ``keep`` names columns of ``lines`` that stay beside the view's.
+    """
     columns = list(columns)
     rows = _with_ends(table(spark, sf_dir, "lineitem") if lines is None else lines, spark, sf_dir, columns)
-    return rows.selectExpr(*[f"{TRIP_VIEW[name]} as {name}" for name in columns])
+    return rows.selectExpr(*[f"{TRIP_VIEW[name]} as {name}" for name in columns], *keep)
+
+
+def numbered_lines(spark: SparkSession, sf_dir: str, name: str = "trip_id") -> DataFrame:
+    """Order lines with a dense number, the same in every run."""
+    return numbering.number_rows(table(spark, sf_dir, "lineitem"), name)
 
 
 def trip_counts(spark: SparkSession, sf_dir: str, columns: Iterable[str]) -> DataFrame:
