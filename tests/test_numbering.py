@@ -33,7 +33,7 @@ def test_a_row_that_is_a_third_of_the_table_spreads(spark):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         numbered = numbering.number_rows(frame, "n")
-        files = numbered.where("a = -1").groupBy(F.col("_metadata.file_path")).count().collect()
+        files = numbered.where("a = -1").groupBy(F.input_file_name().alias("file")).count().collect()
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert len(files) > 1 and sum(r["count"] for r in files) == 10000
