@@ -203,6 +203,31 @@ def clean_lines(lines: DataFrame, line: str = "value", stop_words: Iterable[str]
     return lines.select(F.explode(F.filter(cleaned, lambda text: text != "")).alias("value"))
 
 
+# Words are never empty and never start with a space, so the marks of a message cannot collide with them.
+READ, WRITTEN = " messages", " lines written"
+
+
+def line_items(lines: DataFrame, line: str = "value", stop_words: Iterable[str] = ENGLISH) -> DataFrame:
+    """Words of the cleaned lines with their counts (``item``, ``n``), beside marks for messages read and lines written.
+
+    Counts of several batches can be added up.
+    """
+    found = lines.select(t.clean_line_words(F.col(line), stop_words).alias("words"))
+    marks = F.when(F.size("words") > 0, F.array(F.lit(READ), F.lit(WRITTEN))).otherwise(F.array(F.lit(READ)))
+    return found.select(F.explode(F.concat(marks, "words")).alias("item")).groupBy("item").agg(F.count("*").alias("n"))
+
+
+def lines_report(items: DataFrame, k: int = 10) -> DataFrame:
+    """Messages read, lines written and the k most frequent words; both totals are there even if nothing was read."""
+    is_mark = F.startswith(F.col("item"), F.lit(" "))
+    always = items.sparkSession.createDataFrame([(READ, 0), (WRITTEN, 0)], "item string, n long")
+    totals = items.where(is_mark).unionByName(always).groupBy("item").agg(F.sum("n").alias("n"))
+    words = items.where(~is_mark).orderBy(F.desc("n"), "item").limit(k)
+    return totals.unionByName(words).select(
+        F.when(is_mark, "total").otherwise("word").alias("kind"), F.trim("item").alias("item"), "n"
+    )
+
+
 def clean_lines_summary(
     lines: DataFrame, line: str = "value", stop_words: Iterable[str] = ENGLISH, k: int = 10
 ) -> DataFrame:

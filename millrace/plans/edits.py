@@ -5,6 +5,8 @@ Names ending in ``_stream`` answer the same question from a stream of messages.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,9 +14,10 @@ from millrace.functions.stopwords import ENGLISH
 from millrace.operators import edits as e
 from millrace.operators import service
 from millrace.operators import words as w
+from millrace.plans import text
 from millrace.plans.sql import SPACE, half_up, quoted
 from millrace.sources import scratch, tables, topics
-from millrace.streaming import run
+from millrace.streaming import fanout, run
 
 
 def _edits(spark, sf):
@@ -170,6 +173,101 @@ def stream_resume(spark, sf):
     return rows
 
 
+def _delivered(spark, sf):
+    """Edits of a topic in ten deliveries, some messages late; a stream of one delivery per micro-batch."""
+    topic = scratch.new_path(spark, "topic")
+    tables.deliver(spark, sf, topic)
+    return e.parse(topics.read_topic(spark, path=topic, max_files_per_trigger=1))
+
+
+LATENESS = "1 hour"
+
+
+def edits_hourly_late(spark, sf):
+    """Closed hours over ten batches; edits that come after their hour was closed are left out."""
+    return run.run_to_files(e.hourly_bots(_delivered(spark, sf), watermark=LATENESS))
+
+
+def edits_tumbling_late(spark, sf):
+    """As ``edits_hourly_late``, for windows of five minutes."""
+    return run.run_to_files(e.tumbling(_delivered(spark, sf), watermark=LATENESS))
+
+
+def edits_sliding_late(spark, sf):
+    """As ``edits_hourly_late``; a late edit may miss one of its windows and be in time for the other."""
+    return run.run_to_files(e.sliding(_delivered(spark, sf), watermark=LATENESS))
+
+
+def edits_late_groups(spark, sf):
+    """Messages per batch, and groups of an hour and a flag that came too late for their window."""
+    query = run.start(
+        e.hourly_bots(_delivered(spark, sf), watermark=LATENESS), "parquet", "append", path=scratch.new_path(spark, "rows")
+    )
+    run.finish(query)
+    return run.batches(query).where("messages > 0")
+
+
+ANSWERS = ("per_wiki", "tumbling", "sliding", "size_types", "per_page", "per_user")
+
+
+def _long(answer, report, name):
+    """Figures as rows: question, group, figure and value; times as seconds."""
+    def text(c):
+        seconds = answer.schema[c].dataType.typeName() == "timestamp"
+        return F.coalesce((F.unix_timestamp(c) if seconds else F.col(c)).cast("string"), F.lit("null"))
+
+    def number(c):
+        return (F.unix_timestamp(c) if answer.schema[c].dataType.typeName() == "timestamp" else F.col(c)).cast("double")
+
+    group = F.concat_ws("|", *[text(key) for key in report.group])
+    figures = F.array(*[F.struct(F.lit(f).alias("figure"), number(f).alias("value")) for f in report.figures])
+    return answer.select(F.lit(name).alias("question"), group.alias("part_of"), F.inline(figures))
+
+
+def edits_answers_stream(spark, sf):
+    """Six reports from one reading of the topic, merged over ten batches."""
+    edits = _delivered(spark, sf)
+    reports = {name: e.REPORTS[name] for name in ANSWERS}
+    answers = {name: e.kept(report, buckets=4) for name, report in reports.items()}
+    found = fanout.drain(edits, answers, scratch.new_path(spark, "answers"))
+    return reduce(DataFrame.unionByName, [_long(found[name], reports[name], name) for name in ANSWERS])
+
+
+def _kept_after_restart(spark, sf, name):
+    """A report kept over the deliveries, which come in two parts with a new query for each."""
+    topic, path = scratch.new_path(spark, "topic"), scratch.new_path(spark, "answers")
+    answers = {name: e.kept(e.REPORTS[name], buckets=4)}
+    for part in (range(3), range(3, tables.DELIVERIES)):
+        tables.deliver(spark, sf, topic, part)
+        edits = e.parse(topics.read_topic(spark, path=topic, max_files_per_trigger=2))
+        found = fanout.drain(edits, answers, path)
+    return found[name]
+
+
+def edits_per_page_kept(spark, sf):
+    return _kept_after_restart(spark, sf, "per_page")
+
+
+def edits_per_user_kept(spark, sf):
+    return _kept_after_restart(spark, sf, "per_user")
+
+
+def clean_lines_totals_stream(spark, sf):
+    """Messages read, lines written and top words of a topic of lines in eight deliveries, beside the cleaned lines."""
+    topic = scratch.new_path(spark, "topic")
+    lines = w.text_lines(tables.documents(spark, sf), "text", ["doc_id"]).withColumnRenamed("line", "value")
+    for n in range(8):
+        topics.publish(lines.where(F.pmod("doc_id", F.lit(8)) == n).coalesce(1), path=topic)
+    answers = {
+        "lines": fanout.Appended(w.clean_lines),
+        "totals": fanout.Kept(w.line_items, ("item",), {"n": "sum"}, w.lines_report, buckets=4),
+    }
+    stream = topics.read_topic(spark, path=topic, max_files_per_trigger=1)
+    found = fanout.drain(stream, answers, scratch.new_path(spark, "answers"))
+    written = found["lines"].agg(F.lit("check").alias("kind"), F.lit("lines in the output").alias("item"), F.count("*").alias("n"))
+    return found["totals"].unionByName(written)
+
+
 def service_availability(spark, sf):
     return service.availability(tables.requests(spark, sf))
 
@@ -210,6 +308,14 @@ QUERIES = {
         active_users_stream,
         stream_clean_lines,
         stream_resume,
+        edits_hourly_late,
+        edits_tumbling_late,
+        edits_sliding_late,
+        edits_late_groups,
+        edits_answers_stream,
+        edits_per_page_kept,
+        edits_per_user_kept,
+        clean_lines_totals_stream,
         service_availability,
         usage_with_total,
     )
@@ -286,6 +392,42 @@ def _closed(windows):
     return f"SELECT * FROM ({windows}) WHERE window_end <= ({at}) - INTERVAL '10 minutes'"
 
 
+# Events with the delivery they come with, and the end of event time that each batch drops late ones by: the largest
+# seen two deliveries before.
+_DELIVERED = """, delivered AS (
+        SELECT event_type AS wiki, user_id % 5 = 0 AS bot, date_trunc('second', ts) AS event_time, diff AS size_diff,
+               least(CAST(floor((day(ts) - 1) / 3.0) AS INTEGER)
+                   + CASE WHEN event_id % 97 = 0 THEN 3 WHEN event_id % 11 = 0 THEN 1 ELSE 0 END, 9) AS batch
+        FROM pages),
+    marks AS (
+        SELECT b.batch, max(d.event_time) - INTERVAL '1 hour' AS mark
+        FROM (SELECT DISTINCT batch FROM delivered) b LEFT JOIN delivered d ON d.batch <= b.batch - 2 GROUP BY b.batch),
+    spread AS (
+        SELECT d.*, m.mark, time_bucket(INTERVAL '{step}', event_time) - i * INTERVAL '{step}' AS window_start,
+               time_bucket(INTERVAL '{step}', event_time) - i * INTERVAL '{step}' + INTERVAL '{width}' AS window_end
+        FROM delivered d JOIN marks m USING (batch), range({windows}) r(i))"""
+_IN_TIME = """FROM spread WHERE (mark IS NULL OR window_end > mark)
+        AND window_end <= (SELECT max(event_time) FROM edits) - INTERVAL '1 hour'"""
+
+
+def _late(step: str, width: str, windows: int) -> str:
+    return _EDITS + _DELIVERED.format(step=step, width=width, windows=windows)
+
+
+def _long_sql(question: str, source: str, group: str, **figures: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{question}' AS question, {group} AS part_of, '{figure}' AS figure, CAST({value} AS DOUBLE) AS value FROM ({source})"
+        for figure, value in figures.items()
+    )
+
+
+def _body(sql: str) -> str:
+    """A question without the views it shares with the others."""
+    return sql.removeprefix(_EDITS)
+
+
+_WINDOW = "concat_ws('|', CAST(epoch(window_start) AS BIGINT), CAST(epoch(window_end) AS BIGINT), {})"
+
 ORACLE = {
     "edits_parse": _EDITS + _ALL,
     "edits_rejects": "SELECT left(props, length(props) - 1) AS raw FROM events WHERE event_type = 'error'",
@@ -320,6 +462,35 @@ ORACLE = {
     "edit_size_types_stream": _SIZES,
     "biggest_pages_stream": _PAGES,
     "active_users_stream": _USERS,
+    "edits_hourly_late": _late("1 hour", "1 hour", 1)
+    + f"SELECT window_start, window_end, bot, count(*) AS edit_count {_IN_TIME} GROUP BY ALL",
+    "edits_tumbling_late": _late("5 minutes", "5 minutes", 1)
+    + f"""SELECT window_start, window_end, wiki, bot, count(*) AS edits,
+        {half_up("sum(size_diff)", "count(size_diff)", 1)} AS mean_size_diff {_IN_TIME} GROUP BY ALL""",
+    "edits_sliding_late": _late("5 minutes", "10 minutes", 2)
+    + f"""SELECT window_start, window_end, wiki, count(*) AS edits, CAST(sum(greatest(size_diff, 0)) AS BIGINT) AS bytes_added,
+        CAST(sum(greatest(-size_diff, 0)) AS BIGINT) AS bytes_removed {_IN_TIME} GROUP BY ALL""",
+    "edits_late_groups": _late("1 hour", "1 hour", 1)
+    + """SELECT CAST(batch AS BIGINT) AS batch, count(*) AS messages,
+        count(DISTINCT CASE WHEN window_end <= mark THEN concat_ws('|', window_start, bot) END) AS late FROM spread GROUP BY batch""",
+    "edits_answers_stream": _EDITS
+    + " UNION ALL ".join(
+        [
+            _long_sql("per_wiki", _body(_PER_WIKI), "wiki", edits="edits", earliest_edit="epoch(earliest_edit)",
+                      latest_edit="epoch(latest_edit)", bot_percent="bot_percent"),
+            _long_sql("tumbling", _TUMBLING, _WINDOW.format("wiki, bot"), edits="edits", mean_size_diff="mean_size_diff"),
+            _long_sql("sliding", _body(_SLIDING).replace(", opened AS", "WITH opened AS", 1), _WINDOW.format("wiki"), edits="edits",
+                      bytes_added="bytes_added", bytes_removed="bytes_removed"),
+            _long_sql("size_types", _body(_SIZES), "concat_ws('|', wiki, change)", edits="edits", mean_bytes="mean_bytes",
+                      largest_bytes="largest_bytes"),
+            _long_sql("per_page", "SELECT * FROM page_totals", "concat_ws('|', wiki, title)", edits="edits", net_size_diff="net_size_diff"),
+            _long_sql("per_user", "SELECT * FROM users", "concat_ws('|', wiki, \"user\", bot)", edits="edits"),
+        ]
+    ),
+    "edits_per_page_kept": _EDITS + "SELECT * FROM page_totals",
+    "edits_per_user_kept": _EDITS + "SELECT * FROM users",
+    "clean_lines_totals_stream": f"""SELECT kind, item, n FROM ({text.ORACLE["clean_lines_summary"]})
+        UNION ALL SELECT 'check', 'lines in the output', (SELECT count(*) FROM ({_CLEAN}))""",
     "stream_clean_lines": _CLEAN,
     "stream_resume": _CLEAN,
     "service_availability": r"""WITH r AS (

@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators import numbering
-from millrace.sources import scratch
+from millrace.sources import scratch, topics
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -201,6 +201,23 @@ def edit_messages(spark: SparkSession, sf_dir: str, stream: bool = False, damage
     return as_messages(_read(spark, sf_dir, "events", stream), damaged)
 
 
+DELIVERIES = 10
+
+
+def delivery() -> Column:
+    """The delivery an event comes with: three days each, an eleventh of the events one late, some three late."""
+    own = F.floor((F.dayofmonth("ts") - 1) / 3)
+    late = F.when(F.col("event_id") % 97 == 0, 3).when(F.col("event_id") % 11 == 0, 1).otherwise(0)
+    return F.least(own + late, F.lit(DELIVERIES - 1))
+
+
+def deliver(spark: SparkSession, sf_dir: str, path: str, deliveries: Iterable[int] = range(DELIVERIES)) -> None:
+    """Append edit messages to a topic, one delivery after the other; each is a file, as a producer's flush would be."""
+    events = table(spark, sf_dir, "events")
+    for n in deliveries:
+        topics.publish(as_messages(events.where(delivery() == n)).coalesce(1), path=path)
+
+
 # --- service log ----------------------------------------------------------------------------
 
 

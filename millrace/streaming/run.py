@@ -63,6 +63,19 @@ def _keep_result(rows: DataFrame, batch: int, path: str, keep: int) -> None:
             scratch.remove(rows.sparkSession, f"{path}/{old}")
 
 
+def batches(query: StreamingQuery) -> DataFrame:
+    """``batch``, ``messages`` read and ``late`` groups dropped of the batches that the query still remembers.
+
+    Late rows of one group and batch are one group: they are added up before they meet the state. A session
+    remembers ``spark.sql.streaming.numRecentProgressUpdates`` batches.
+    """
+    seen = {
+        p.batchId: (p.batchId, p.numInputRows, sum(s.numRowsDroppedByWatermark for s in p.stateOperators))
+        for p in query.recentProgress
+    }
+    return SparkSession.active().createDataFrame(list(seen.values()), "batch long, messages long, late long")
+
+
 def finish(query: StreamingQuery, timeout: float | None = None) -> None:
     """Wait for a draining query; one that is not done in time is stopped and reported."""
     if timeout is None:
