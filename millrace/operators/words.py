@@ -11,6 +11,7 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from millrace.functions import text as t
 from millrace.functions.stopwords import ENGLISH
@@ -181,6 +182,12 @@ def strip_boilerplate_lines(lines: DataFrame, text: str = "value") -> DataFrame:
     return lines.join(markers, "file").where(unmarked | inside).drop("start", "end")
 
 
+def number_lines(lines: DataFrame) -> DataFrame:
+    """Lines of files with their number in the file, from 0 (``line_no``), in the order of block and sequence."""
+    order = Window.partitionBy("file").orderBy("block", "seq")
+    return lines.withColumn("line_no", F.row_number().over(order) - 1)
+
+
 def multiset_difference(first: DataFrame, second: DataFrame) -> DataFrame:
     """How many rows each side has that the other lacks, duplicates counted; one row.
 

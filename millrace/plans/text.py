@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import text as t
 from millrace.functions.stopwords import BY_LANGUAGE, ENGLISH, FRENCH
+from millrace.operators import fingerprints
 from millrace.operators import words as w
 from millrace.plans.sql import SPACE, quoted
-from millrace.sources import tables
+from millrace.session import settings
+from millrace.sources import files, scratch, tables
 
 NAMES = ("de", "la", "en", "on", "ou", "re")
 
@@ -92,6 +97,29 @@ def strip_boilerplate(spark, sf):
     return w.strip_boilerplate(tables.books(spark, sf)).select("doc_id", "lang", "marked", "body")
 
 
+def strip_boilerplate_files(spark, sf):
+    """Books as text files, read line by line in splits smaller than a book, cut by position and numbered."""
+    path = scratch.new_path(spark, "books")
+    books = tables.books(spark, sf).select("doc_id", F.col("text").alias("value"))
+    books.write.partitionBy("doc_id").option("lineSep", "\n").text(path)
+    with settings(spark, spark__sql__files__maxPartitionBytes="16k", spark__sql__files__openCostInBytes="4k"):
+        lines = w.strip_boilerplate_lines(files.read_numbered_lines(spark, path, "\n"))
+        cut = scratch.stored(w.number_lines(lines), "lines")
+    doc_id = F.regexp_extract("file", "doc_id=([^/]*)", 1).cast("long")
+    return cut.select(doc_id.alias("doc_id"), "line_no", F.col("value").alias("line"))
+
+
+def result_fingerprint(spark, sf):
+    """Two ways to count words, told equal by sums of row hashes."""
+    sides = {"direct": word_count(spark, sf), "late": word_count_late_clean(spark, sf)}
+    return reduce(DataFrame.unionByName, [fingerprints.fingerprint(f).withColumn("side", F.lit(n)) for n, f in sides.items()])
+
+
+def result_differences(spark, sf):
+    """Word counts with and without stop words: which rows differ is found in the buckets that differ."""
+    return fingerprints.differences(word_count_no_stop(spark, sf), word_count_lower(spark, sf))
+
+
 def text_comparison(spark, sf):
     """Books without their licence frame, French elisions split, compared by lines, words and distinct words."""
     bodies = w.strip_boilerplate(tables.books(spark, sf))
@@ -131,6 +159,9 @@ QUERIES = {
         avg_by_key,
         language_stats,
         strip_boilerplate,
+        strip_boilerplate_files,
+        result_fingerprint,
+        result_differences,
         text_comparison,
         clean_lines,
         clean_lines_summary,
@@ -229,6 +260,21 @@ ORACLE = {
     "language_stats": _CLEANED + _stats("text"),
     "text_comparison": "WITH" + _TOKENS.format(text=_SPLIT, table="documents") + _stats(_SPLIT),
     "strip_boilerplate": "SELECT doc_id, lang, lang <> 'de' AS marked, text AS body FROM documents",
+    "strip_boilerplate_files": """
+        WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS a FROM documents)
+        SELECT doc_id, CAST(unnest(range(len(a))) AS INTEGER) AS line_no, unnest(a) AS line FROM d""",
+    "result_fingerprint": f"""WITH counts AS ({_COUNTED}),
+        texts AS (SELECT md5(length(CAST(n AS VARCHAR)) || ':' || n || length(word) || ':' || word) AS h FROM counts),
+        summed AS (SELECT count(*) AS n_rows, """
+    + " || '-' || ".join(f"CAST(sum(CAST('0x' || substr(h, {8 * i + 1}, 8) AS BIGINT)) AS VARCHAR)" for i in range(4))
+    + """ AS fingerprint FROM texts)
+        SELECT n_rows, fingerprint, side FROM summed, (VALUES ('direct'), ('late')) s(side)""",
+    "result_differences": "WITH"
+    + _TOKENS.format(text="text", table="documents")
+    + f""", kept AS (SELECT lower(token) AS word, count(*) AS n FROM tokens WHERE lower(token) NOT IN ({quoted(ENGLISH)}) GROUP BY ALL),
+        every AS (SELECT lower(token) AS word, count(*) AS n FROM tokens GROUP BY ALL)
+        SELECT (SELECT count(*) FROM (SELECT * FROM kept EXCEPT ALL SELECT * FROM every)) AS only_first,
+               (SELECT count(*) FROM (SELECT * FROM every EXCEPT ALL SELECT * FROM kept)) AS only_second""",
     "clean_lines": _CLEAN_LINES
     + "SELECT array_to_string(words, ' ') AS value FROM listed WHERE len(words) > 0",
     "clean_lines_summary": _CLEAN_LINES

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace.functions.time import WEEKDAYS
 from millrace.operators import boroughs as b
 from millrace.operators import trips as tr
-from millrace.sources import files, scratch, tables
+from millrace.sources import files, partitioned, scratch, tables
 
 KEYS = ["order_key", "line_number"]
 TIMES = [tr.PICKUP, tr.DROPOFF]
@@ -47,6 +47,21 @@ def zones_csv_roundtrip(spark, sf):
     return files.read_zones(spark, path)
 
 
+def zones_csv_rejects(spark, sf):
+    """Zones as CSV text in which records are damaged in several ways; some only look so."""
+    path = scratch.new_path(spark, "zones")
+    record = """case LocationID % 6
+        when 1 then concat('x', LocationID, ',', Borough, ',', Zone)
+        when 2 then concat(LocationID, ',', Borough)
+        when 3 then concat(LocationID, ',"', Borough, chr(10), 'and more",', Zone)
+        when 4 then concat(LocationID, ',', Borough, ',', Zone, ',more')
+        when 5 then concat(LocationID, ',"', Borough, ', N/A",', Zone)
+        else concat(LocationID, ',', Borough, ',', Zone) end as value"""
+    tables.zones(spark, sf).selectExpr(record).write.text(path)
+    good, damaged = files.read_csv_checked(spark, path, files.ZONE_SCHEMA, header=False, multi_line=True)
+    return good.unionByName(damaged.select("raw"), allowMissingColumns=True)
+
+
 def trips_derive(spark, sf):
     return _timed(spark, sf)
 
@@ -105,6 +120,13 @@ def trips_in_period(spark, sf):
     return tr.in_period(tables.trips(spark, sf, [*KEYS, *TIMES, "trip_distance"]), *YEAR_1)
 
 
+def trips_in_stored_period(spark, sf):
+    """The same from trips stored by month: one year reads twelve folders."""
+    path, trips = scratch.new_path(spark, "trips"), tables.trips(spark, sf, [*KEYS, *TIMES, "trip_distance"])
+    partitioned.write_months(trips, path, tr.PICKUP)
+    return partitioned.read_period(spark, path, trips.schema, tr.PICKUP, *YEAR_1)
+
+
 def _contenders(spark, sf, measure, k, ends, where="true", lines=None):
     """Lines that may be among the k first by a measure of their own, found before anything is joined."""
     columns = [tables.TRIP_VIEW[name] for name in (measure, *KEYS)]
@@ -247,6 +269,7 @@ QUERIES = {
     for f in (
         trips_scan,
         zones_csv_roundtrip,
+        zones_csv_rejects,
         trips_derive,
         trips_with_id,
         trips_numbered,
@@ -255,6 +278,7 @@ QUERIES = {
         longest_trips_with_id,
         trips_id_check,
         trips_in_period,
+        trips_in_stored_period,
         trips_shortest_positive,
         trips_extremes,
         trips_extremes_time,
@@ -351,6 +375,11 @@ _PERIOD = """CASE WHEN hour(ts) >= 6 AND hour(ts) < 12 THEN 'morning'
     WHEN hour(ts) >= 12 AND hour(ts) < 18 THEN 'afternoon'
     WHEN hour(ts) >= 18 THEN 'evening' ELSE 'late night' END"""
 _TIPS = "FROM trips WHERE payment_type = 1"
+_IN_PERIOD = (
+    _TRIPS
+    + f"""SELECT order_key, line_number, tpep_pickup_datetime, tpep_dropoff_datetime, trip_distance FROM trips
+        WHERE tpep_pickup_datetime >= '{YEAR_1[0]}' AND tpep_pickup_datetime < '{YEAR_1[1]}'"""
+)
 _PICKUPS = _TRIPS + "SELECT pu_borough, count(*) AS n_trips FROM boroughs GROUP BY pu_borough"
 
 ORACLE = {
@@ -367,9 +396,15 @@ ORACLE = {
     "longest_trips_with_id": _NUMBERED
     + "SELECT trip_distance, trip_id FROM trips ORDER BY trip_distance DESC NULLS LAST, trip_id LIMIT 3",
     "trips_id_check": "SELECT count(*) AS n_trips, count(*) AS n_ids FROM lineitem",
-    "trips_in_period": _TRIPS
-    + f"""SELECT order_key, line_number, tpep_pickup_datetime, tpep_dropoff_datetime, trip_distance FROM trips
-        WHERE tpep_pickup_datetime >= '{YEAR_1[0]}' AND tpep_pickup_datetime < '{YEAR_1[1]}'""",
+    "trips_in_period": _IN_PERIOD,
+    "trips_in_stored_period": _IN_PERIOD,
+    "zones_csv_rejects": _TRIPS
+    + """SELECT CASE WHEN LocationID % 6 IN (0, 3, 5) THEN LocationID END AS LocationID,
+        CASE LocationID % 6 WHEN 0 THEN Borough WHEN 3 THEN Borough || chr(10) || 'and more' WHEN 5 THEN Borough || ', N/A' END AS Borough,
+        CASE WHEN LocationID % 6 IN (0, 3, 5) THEN Zone END AS Zone,
+        CASE LocationID % 6 WHEN 1 THEN concat('x', LocationID, ',', Borough, ',', Zone) WHEN 2 THEN concat(LocationID, ',', Borough)
+            WHEN 4 THEN concat(LocationID, ',', Borough, ',', Zone, ',more') END AS raw
+        FROM zones""",
     "trips_shortest_positive": _TRIPS
     + """SELECT order_key, line_number, trip_distance, duration_min FROM trips WHERE trip_distance > 0
         ORDER BY trip_distance, order_key, line_number, duration_min NULLS FIRST LIMIT 3""",

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -28,3 +31,20 @@ def session(app: str = "millrace", master: str | None = None, **settings: str) -
     for key, value in {**SETTINGS, **{k.replace("__", "."): v for k, v in settings.items()}}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+@contextmanager
+def settings(spark: SparkSession, **wanted: str) -> Iterator[None]:
+    """Session settings (``__`` for dots) for the jobs run inside; what was set before comes back."""
+    keys = {key.replace("__", "."): value for key, value in wanted.items()}
+    before = {key: spark.conf.get(key, None) for key in keys}
+    try:
+        for key, value in keys.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.sources import scratch
+
 ZONE_SCHEMA = T.StructType(
     [
         T.StructField("LocationID", T.IntegerType()),
@@ -48,13 +50,15 @@ def read_texts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
 
 
-def read_numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+def read_numbered_lines(spark: SparkSession, path: str, line_end: str | None = None) -> DataFrame:
     """Lines with a position that orders them within their file.
 
     ``block`` is the offset of the file split a line was read from and ``seq`` grows along
-    that split, so (block, seq) follows the file without a global numbering or a sort.
+    that split, so (block, seq) follows the file without a global numbering or a sort. Lines end as they do
+    in text files, unless ``line_end`` says how.
     """
-    return spark.read.text(path).select(
+    reader = spark.read.option("lineSep", line_end) if line_end else spark.read
+    return reader.text(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("seq"),
@@ -93,6 +97,27 @@ def read_csv(
     return reader.csv(path)
 
 
+_DAMAGED = "_damaged"
+
+
+def read_csv_checked(
+    spark: SparkSession, path: str, schema: T.StructType, sep: str = ",", header: bool = True, multi_line: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """Rows of a CSV that fit the schema, and the others: ``file`` and ``raw`` text.
+
+    A record goes to the others when it has too few or too many fields or a value of another type. The parsed records are
+    stored once, so both results come from one reading. A quote within quotes is doubled. Quoted fields may hold line
+    breaks with ``multi_line``; a file is then read by one task.
+    """
+    options = {"header": header, "sep": sep, "escape": '"', "multiLine": multi_line, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _DAMAGED}
+    whole = T.StructType([*schema.fields, T.StructField(_DAMAGED, T.StringType())])
+    read = spark.read.options(**options).schema(whole).csv(path)
+    records = scratch.stored(read.select("*", F.col("_metadata.file_path").alias("_file")), "records")
+    good = records.where(F.col(_DAMAGED).isNull()).select(*schema.names)
+    damaged = records.where(F.col(_DAMAGED).isNotNull())
+    return good, damaged.select(F.col("_file").alias("file"), F.col(_DAMAGED).alias("raw"))
+
+
 def read_zones(spark: SparkSession, path: str) -> DataFrame:
     """Zone lookup. The borough ``N/A`` is an ordinary value, not a null."""
     return read_csv(spark, path, ZONE_SCHEMA)
