@@ -2,8 +2,10 @@
 
 One variable-order Markov model is counted from urls that the rules accept and one from urls they
 reject. A character's probability mixes the orders 0 to ``ORDER``: each order's estimate falls back
-on the next lower one with weight ``BACKOFF``. N-grams are hashed into ``CELLS`` cells, so a model
-has the same size whatever it is counted from and can be handed to all tasks. A url's score is the
+on the next lower one with weight ``BACKOFF``. N-grams are counted as they are, however many there are: the longest ones
+once over all urls, the shorter ones and the contexts from those counts. For each longest n-gram the difference of both
+models' log-probabilities is worked out once; a url's characters are then joined with these numbers. They are
+whole billionths, so that their sum does not depend on its order. A url's score is the
 difference of its log-likelihoods per character; the threshold is calibrated on a fifth of the
 ruled urls, which the models have not seen, by the mean of both error rates.
 
@@ -23,13 +25,13 @@ from pyspark.sql import functions as F
 from millrace.llm import common
 
 ORDER = 3
-CELLS = 1 << 17
 BACKOFF = 2.0
 BINS_PER_NAT = 100
 HALF_BINS = 1000  # scores beyond +-10 share the outermost bins
 HELD_OUT = 5  # one in so many ruled urls calibrates the threshold
 
 START = "\x02"
+UNITS = 1_000_000_000  # of a score, per nat
 
 
 @dataclass(frozen=True)
@@ -80,64 +82,53 @@ def ruled(urls: DataFrame, rules: Sequence[Rule], url: str = "url") -> DataFrame
     return rows.withColumns({"rule": rule, "ruling": ruling})
 
 
-def _cells(url: Column) -> Column:
-    """Per character the cells of its n-grams and of their contexts, from order 0 up."""
-    text = F.coalesce(url, F.lit(""))
-    padded = F.concat(F.array(*[F.lit(START)] * ORDER), F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, "")))
+def grams(url: Column) -> Column:
+    """Per character the n-gram that it ends, with ``START`` before the url."""
+    padded = F.concat(F.lit(START * ORDER), F.coalesce(url, F.lit("")))
+    return F.regexp_extract_all(padded, F.lit(f"(?s)(?=(.{{{ORDER + 1}}}))"), F.lit(1))
 
-    def at(i: Column) -> Column:
-        back = [F.element_at(padded, i - k) for k in range(ORDER + 1)]  # the character, then those before it
-        grams = [F.xxhash64(F.lit(k), *back[: k + 1]) for k in range(ORDER + 1)]
-        contexts = [F.xxhash64(F.lit(-1 - k), *back[1 : k + 1]) for k in range(ORDER + 1)]
-        return F.array(*[F.pmod(h, F.lit(CELLS)).cast("int") for h in grams + contexts])
 
-    last = F.size(padded)
-    positions = F.when(last > ORDER, F.sequence(F.lit(ORDER + 1), last)).otherwise(F.array().cast("array<int>"))
-    return F.transform(positions, at)
-
-
-def model(rows: DataFrame) -> DataFrame:
-    """One row ``counts``: for every cell, in order, its counts among accepted and rejected urls."""
-    seen = rows.select((F.col("ruling") == "allow").cast("int").alias("a"), F.explode("cells").alias("at"))
-    counted = (
-        seen.select("a", F.explode("at").alias("cell"))
-        .groupBy("cell")
-        .agg(F.sum("a").alias("accepted"), F.sum(1 - F.col("a")).alias("rejected"))
-    )
-    every = rows.sparkSession.range(CELLS).select(F.col("id").cast("int").alias("cell"))
-    dense = every.join(counted, "cell", "left").select(
-        "cell", F.coalesce("accepted", F.lit(0)).alias("accepted"), F.coalesce("rejected", F.lit(0)).alias("rejected")
+def counted(rows: DataFrame) -> DataFrame:
+    """``gram`` with its counts among the urls of the two models, ``a`` accepted and ``r`` rejected, for all grams of all urls."""
+    learned = F.col("ruling").isNotNull() & ~F.col("held_out")
+    seen = rows.select(
+        (learned & (F.col("ruling") == "allow")).cast("long").alias("a"),
+        (learned & (F.col("ruling") == "block")).cast("long").alias("r"),
+        F.explode(grams(F.col("u"))).alias("gram"),
     )
-    listed = dense.agg(F.sort_array(F.collect_list(F.struct("cell", "accepted", "rejected"))).alias("c"))
-    return listed.select(F.transform("c", lambda x: F.struct(x["accepted"], x["rejected"])).alias("counts"))
-
-
-def _log_probability(counts: Column, side: str) -> Column:
-    share = F.lit(1.0 / 256)
-    for k in range(ORDER + 1):
-        n, of = counts[k][side], counts[ORDER + 1 + k][side]
-        share = (n + BACKOFF * share) / (of + BACKOFF)
-    return F.log(share)
+    return seen.groupBy("gram").agg(F.sum("a").alias("a"), F.sum("r").alias("r"))
 
 
-def scored(rows: DataFrame, counts: DataFrame) -> DataFrame:
-    """Replaces ``cells`` by ``score``: the difference of the log-likelihoods per character under both models.
+def log_ratios(counts: DataFrame) -> DataFrame:
+    """``gram`` and ``d``: the difference of its last character's log-probabilities under both models, in units.
 
-    The model is a scalar subquery. A lambda may not hold one, but may refer to its column; as there
-    is one reference, the optimiser puts the subquery in its place and no row carries the model.
+    The probabilities of n-grams of one order need their counts, those of their contexts, and the
+    probabilities of the order below: two joins by order, each the smaller the shorter the n-grams.
     """
-    modelled = rows.withColumn("m", counts.scalar())
-    looked_up = F.transform("cells", lambda x: F.transform(x, lambda c: F.element_at("m", c + 1)))
-    counted = modelled.withColumn("seen", looked_up).drop("m", "cells")
-    total = F.aggregate(
-        "seen",
-        F.struct(F.lit(0.0).alias("d"), F.lit(0).alias("n")),
-        lambda s, x: F.struct(
-            (s["d"] + _log_probability(x, "accepted") - _log_probability(x, "rejected")).alias("d"), (s["n"] + 1).alias("n")
-        ),
-        lambda s: F.when(s["n"] > 0, s["d"] / s["n"]).otherwise(0.0),
-    )
-    return counted.withColumn("score", total).drop("seen")
+    sums = [F.sum("a").alias("a"), F.sum("r").alias("r")]
+    lower: DataFrame | None = None
+    for k in range(ORDER + 1):
+        own = counts.groupBy(F.expr(f"right(gram, {k + 1})").alias("g")).agg(*sums)
+        context = own.groupBy(F.expr(f"left(g, {k})").alias("before")).agg(F.sum("a").alias("of_a"), F.sum("r").alias("of_r"))
+        own = own.withColumn("before", F.expr(f"left(g, {k})")).join(context, "before")
+        if lower is None:
+            own = own.withColumns({"low_a": F.lit(1.0 / 256), "low_r": F.lit(1.0 / 256)})
+        else:
+            own = own.withColumn("shorter", F.expr(f"right(g, {k})")).join(lower, "shorter")
+        share = {s: (F.col(s) + BACKOFF * F.col(f"low_{s}")) / (F.col(f"of_{s}") + BACKOFF) for s in "ar"}
+        if k < ORDER:
+            lower = own.select(F.col("g").alias("shorter"), share["a"].alias("low_a"), share["r"].alias("low_r"))
+        else:
+            units = F.round((F.log(share["a"]) - F.log(share["r"])) * UNITS).cast("long")
+            return own.select(F.col("g").alias("gram"), units.alias("d"))
+
+
+def scored(rows: DataFrame, ratios: DataFrame) -> DataFrame:
+    """The rows, which have an ``id``, with ``score``: the difference of the log-likelihoods per character under both models."""
+    exploded = rows.select("id", F.explode(grams(F.col("u"))).alias("gram"))
+    summed = exploded.join(ratios, "gram").groupBy("id").agg(F.sum("d").alias("d"), F.count("*").alias("n"))
+    score = F.coalesce(F.col("d") / F.col("n") / UNITS, F.lit(0.0))
+    return rows.join(summed, "id", "left").withColumn("score", score).drop("d", "n", "id", "u")
 
 
 def threshold(scored: DataFrame) -> DataFrame:
@@ -185,13 +176,13 @@ def _better(s: Column, x: Column) -> Column:
 
 def judge(urls: DataFrame, rules: Sequence[Rule] = RULES, url: str = "url", keep: Sequence[str] = ("page_id",)) -> DataFrame:
     """``keep``, ``host``, ``path``, ``rule``, ``verdict`` and ``score`` of every row."""
-    common.small_batches(urls.sparkSession)
     kept = [F.col(c).alias(f"k{i}") for i, c in enumerate(keep)]
     rows = ruled(urls.select(*kept, F.col(url).cast("string").alias("u")), rules, "u")
     held_out = F.pmod(F.xxhash64("u"), F.lit(HELD_OUT)) == 0
-    rows = rows.withColumns({"held_out": held_out, "cells": _cells(F.col("u"))})
-    counts = common.stored(model(rows.where(F.col("ruling").isNotNull() & ~F.col("held_out"))), "url-model")
-    known = common.stored(scored(rows.drop("u"), counts), "url-scores")
+    # Stored, so that ids stay what they are.
+    rows = common.stored(rows.withColumns({"held_out": held_out, "id": F.monotonically_increasing_id()}), "url-rows")
+    ratios = common.stored(log_ratios(common.stored(counted(rows), "url-grams")), "url-model")
+    known = common.stored(scored(rows, ratios), "url-scores")
     edge = threshold(known.where(F.col("ruling").isNotNull() & F.col("held_out"))).scalar()
     own = F.when(F.col("score") >= edge, "allow").otherwise("block")
     return known.select(
