@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from millrace.llm import common
@@ -14,7 +14,7 @@ def components(edges: DataFrame) -> DataFrame:
     Every round gives a node the least root among its neighbours and then that root's own root, until
     nothing changes; the number of rounds grows with the logarithm of the longest path. Minima are
     taken with a map-side part, and joins on a node with many edges are split by adaptive execution.
-    Each round's result is a stored table. Nulls are no nodes; without edges there are no rows.
+    Each round's result is a stored table; what changed is counted while it is written. Nulls are no nodes; without edges there are no rows.
     """
     both = edges.where("a is not null and b is not null").select("a", "b")
     both = common.stored(both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"))), "edges")
@@ -26,10 +26,9 @@ def components(edges: DataFrame) -> DataFrame:
         lowered = roots.join(near, "node").select("node", "root", F.least("root", "m").alias("low"))
         above = roots.select(F.col("node").alias("low"), F.col("root").alias("up"))
         # A root is a node, so it has a root of its own.
-        jumped = common.stored(
-            lowered.join(above, "low").select("node", F.least("low", "up").alias("new"), "root"), "roots"
-        )
-        changed = jumped.where("new <> root").limit(1).count()
-        roots = jumped.select("node", F.col("new").alias("root"))
-        if not changed:
+        jumped = lowered.join(above, "low").select("node", F.least("low", "up").alias("new"), "root")
+        seen = Observation()
+        counted = jumped.observe(seen, F.count_if(F.col("new") != F.col("root")).alias("changed"))
+        roots = common.stored(counted.select("node", F.col("new").alias("root")), "roots")
+        if not seen.get["changed"]:
             return roots

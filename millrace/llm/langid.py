@@ -6,7 +6,7 @@ by a hash of the id), with the follow-the-regularised-leader update and both pen
 weights are zero. A part of the sample sets the temperature that turns scores into probabilities.
 Of every sampled document a short passage is learned too, since short texts are to be told as well.
 
-At most ``LANGUAGES`` languages are learned, the most frequent ones. Documents with a null id are never
+Every language that labels a document is learned, so the model's size goes with their number. Documents with a null id are never
 held out; null texts and texts without a letter are ``und`` with score 0, as is everything when there
 are no labels. Ties go to the language first by name. Results are by row: repeated rows and further
 columns do not matter, an empty table gives an empty result.
@@ -14,6 +14,8 @@ columns do not matter, an empty table gives an empty result.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -28,7 +30,6 @@ from millrace.llm import common
 BITS = 15
 FEATURES = 1 << BITS
 SAMPLE = 2400
-LANGUAGES = 128
 PASSAGE = 80  # characters
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.05
@@ -132,48 +133,60 @@ def fit(languages: list[str], rows: Sequence[tuple[int, np.ndarray, np.ndarray]]
 def train(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> Model:
     """Fit on labelled documents that are not held out.
 
-    The driver gets the language counts and, of the sample, the feature counts of each document: at
-    most ``2 * sample`` vectors of at most FEATURES entries.
+    Every language that labels a document is learned, from ``sample`` documents over all, ten at least of each. The driver
+    gets a count per language and, of the sample, the feature counts of each document and of a passage of it: at most
+    ``4 * sample`` vectors (40 per language if that is more) of at most FEATURES entries.
     """
     common.small_batches(docs.sparkSession)
     rows = docs.select("doc_id", F.col(text).cast("string").alias("text"), "lang").where("lang is not null and text is not null")
     known = rows.where(~held_out(F.col("doc_id")) & F.col("text").rlike(r"\p{L}"))
-    frequent = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    languages = sorted(r["lang"] for r in frequent)
+    found = known.groupBy("lang").count().collect()
+    languages = sorted(r["lang"] for r in found)
     if not languages:
         return Model([], np.ones(FEATURES, np.float32), np.zeros((FEATURES, 0), np.float32), np.zeros(0, np.float32), 1.0)
     each = max(10, sample // len(languages))
+    # A little over the wanted number, so that chance seldom leaves too few.
+    shares = [(r["lang"], min(1_000_000, 1_300_000 * each // r["count"] + 1)) for r in found]
+    shares = docs.sparkSession.createDataFrame(shares, "lang string, part long")
     draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000))
-    wanted = F.lit(False)
-    for r in frequent:
-        # A little over the wanted number, so that chance seldom leaves too few.
-        part = min(1_000_000, 1_300_000 * each // r["count"] + 1)
-        wanted = wanted | ((F.col("lang") == r["lang"]) & (draw < part))
-    drawn = known.where(wanted).orderBy(draw, "lang", "doc_id").limit(2 * sample).select("lang", "text")
-    schema = T.StructType().add("lang", "string").add("at", "binary").add("n", "binary")
+    drawn = known.withColumn("draw", draw).join(F.broadcast(shares), "lang").where("draw < part")
+    # One row per language is broadcast. Texts become vectors before the drawn ones are put in order.
+    drawn = drawn.select("draw", F.xxhash64("doc_id", "text", "lang").alias("row"), "lang", "text")
+    schema = T.StructType().add("draw", "long").add("row", "long").add("part", "integer").add("lang", "string").add("at", "binary").add("n", "binary")
+    types = (pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.binary(), pa.binary())
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
-            for lang, whole in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            for *key, lang, whole in zip(*(batch.column(c).to_pylist() for c in ("draw", "row", "lang", "text")), strict=True):
                 middle = max(0, (len(whole) - PASSAGE) // 2)
-                for part in (whole, whole[middle : middle + PASSAGE]):
-                    at, n = counts(part)
-                    out.append((lang, at.astype(np.int32).tobytes(), n.astype(np.int32).tobytes()))
+                for part, passage in enumerate((whole, whole[middle : middle + PASSAGE])):
+                    at, n = counts(passage)
+                    out.append((*key, part, lang, at.astype(np.int32).tobytes(), n.astype(np.int32).tobytes()))
             if out:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.string(), pa.binary(), pa.binary()), strict=True)],
-                    names=schema.names,
+                    [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=schema.names
                 )
 
+    # A language's chance surplus may take a document of another one's place, but no more than as many again.
+    made = drawn.mapInArrow(features, schema).orderBy("draw", "row", "part").limit(4 * each * len(languages))
     number = {lang: i for i, lang in enumerate(languages)}
     vectors = [
         (number[r["lang"]], np.frombuffer(r["at"], np.int32), np.frombuffer(r["n"], np.int32))
-        for r in drawn.mapInArrow(features, schema).toLocalIterator()
+        for r in made.select("lang", "at", "n").toLocalIterator()
     ]
     # Rows come in an order that depends on partitions; this one does not.
     vectors.sort(key=lambda v: (v[1].tobytes(), v[2].tobytes(), v[0]))
-    return fit(languages, [vectors[i] for i in np.random.default_rng(0).permutation(len(vectors))])
+    model = fit(languages, [vectors[i] for i in np.random.default_rng(0).permutation(len(vectors))])
+    vectors.clear()
+    _give_back()
+    return model
+
+
+def _give_back() -> None:
+    """Return freed memory to the system: the driver needs what thousands of small arrays held."""
+    with contextlib.suppress(OSError, AttributeError):  # a C library without it
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def _told(docs: DataFrame, model: Model, text: str, keep: Sequence[str]) -> DataFrame:

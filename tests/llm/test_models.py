@@ -62,6 +62,51 @@ def test_temperature_corrects_confidence():
     assert abs(np.mean([score for *_, score in told]) - right) < 0.12
 
 
+def test_fit_equals_a_dense_loop():
+    """The update written out over all weights at once, without skipping features that a text lacks."""
+    pick = random.Random(8)
+    rows = [(i % 3, *langid.counts("".join(pick.choice("abcd efgh"[i % 3 * 2 :]) for _ in range(60)))) for i in range(40)]
+    model = langid.fit(["a", "b", "c"], rows)
+    n = langid.FEATURES
+    df = sum(np.isin(np.arange(n), at).astype(float) for _, at, _ in rows)
+    idf = np.log((1 + len(rows)) / (1 + df)) + 1
+
+    def dense(at, count):
+        x = np.zeros(n)
+        x[at] = np.log1p(count) * idf[at]
+        return np.append(x / np.linalg.norm(x), 1.0)
+
+    learn = [(y, dense(at, c)) for i, (y, at, c) in enumerate(rows) if i % 5]
+    z, squares = np.zeros((n + 1, 3)), np.zeros((n + 1, 3))
+
+    def weights():
+        rate = (langid.BETA + np.sqrt(squares)) / langid.ALPHA + langid.L2
+        return np.where(np.abs(z) <= langid.L1, 0.0, (np.sign(z) * langid.L1 - z) / rate)
+
+    for epoch in range(langid.EPOCHS):
+        for i in np.random.default_rng(epoch).permutation(len(learn)):
+            y, x = learn[i]
+            w = weights()
+            scores = np.exp(x @ w - (x @ w).max())
+            gradient = x[:, None] * (scores / scores.sum() - np.eye(3)[y])[None, :]
+            z += gradient - (np.sqrt(squares + gradient**2) - np.sqrt(squares)) / langid.ALPHA * w
+            squares += gradient**2
+    w = weights()
+    assert np.allclose(model.weights, w[:-1], atol=1e-5) and np.allclose(model.bias, w[-1], atol=1e-5)
+    logits = w[model.weights.any(axis=1).nonzero()[0]]
+    assert len(logits) < n
+    text = "abc efg"
+    shares = langid.softmax(dense(*langid.counts(text)) @ w / model.temperature)
+    assert model.predict(text) == (["a", "b", "c"][shares.argmax()], pytest.approx(shares.max(), abs=1e-4))
+
+
+def test_every_labelled_language_is_learned(spark):
+    names = [f"l{i:03}" for i in range(150)]
+    rows = [(i, f"{name} " * 30 + str(i), name) for i, name in enumerate(names * 20) if zlib.crc32(str(i).encode()) % 4 != 2]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.languages == names
+
+
 def test_documents_with_everything(spark):
     docs = edge.documents(spark, clash=True)
     model = langid.train(docs)
@@ -172,5 +217,6 @@ def test_registered_queries_have_rows(spark, sf_dir):
     assert set(QUERIES) == {
         "op1_warc", "op2_bpe", "op3_dedup", "op4_secrets", "op5_mixing",
         "op6_token_counts", "op7_urls", "op8_quality", "op9_langid", "op10_ann",
+        "op11_spelling", "op12_hard_negatives", "op13_html",
     }
     assert compare.TABLES
