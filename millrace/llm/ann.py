@@ -141,10 +141,10 @@ def learn(unit: np.ndarray, near: np.ndarray, part: np.ndarray, parts: int) -> l
     return w
 
 
-def fit(vectors: np.ndarray, rows: int, k: int) -> Router:
-    """Learn the parts from a sample. A table that the sample holds whole is one part: nothing is skipped."""
+def fit(vectors: np.ndarray, k: int) -> Router:
+    """Learn the parts from a sample. Fewer than two times ``PER_PART`` vectors are one part."""
     parts = 1 << int(np.log2(max(1, len(vectors) // PER_PART)))
-    if rows <= len(vectors) or parts < 2:
+    if parts < 2:
         return Router([], 1, 1)
     unit = units(vectors)
     near = neighbours(unit, NEIGHBOURS)
@@ -223,7 +223,7 @@ def search(vectors: DataFrame, every: int, k: int = 5, vector: str = "embedding"
     rows = usable(vectors, vector, key)
     drawn = rows.orderBy(F.xxhash64("vec_id", "v"), "vec_id", "v").limit(SAMPLE).select("v").toLocalIterator()
     sample = np.array([r["v"] for r in drawn], dtype=np.float64)
-    router = fit(sample, rows.count(), k) if len(sample) else Router([], 1, 1)
+    router = fit(sample, k) if len(sample) else Router([], 1, 1)
     index = common.stored(placed(rows, router), "ann-index")
     sizes = {r["part"]: r["count"] for r in index.groupBy("part").count().collect()}
     queries = rows.where(F.col("vec_id") % every == 0).groupBy(F.col("vec_id").alias("query_id")).agg(F.min("v").alias("v"))
