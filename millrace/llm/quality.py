@@ -30,6 +30,7 @@ HELD_OUT = 5  # one in so many labelled documents sets the threshold
 LEAST_WORDS = 50
 MOST_REPEATED = 50  # percent
 SYMBOLS = "#*$%&|<>"
+BROADCAST_IDS = 4_000_000  # trusted ids, 64 MB, that every task may hold
 
 
 def _pairs(n: Column, width: int) -> Column:
@@ -113,10 +114,16 @@ def held_out() -> Column:
     return F.pmod(F.xxhash64("doc_id"), F.lit(HELD_OUT)) == 0
 
 
-def weights(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """One row ``w``: the log ratio of every cell, from all documents and the trusted ones."""
-    good = labels.where(F.col("good") & ~held_out()).select(F.col("doc_id").alias("trusted_id"))
-    # Texts are joined and hashed afterwards: they are moved if the ids are too many for a broadcast.
+def weights(docs: DataFrame, labels: DataFrame, broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
+    """One row ``w``: the log ratio of every cell, from all documents and the trusted ones.
+
+    The ids of the trusted documents are counted first. Up to ``broadcast_ids`` of them are handed to all tasks, and no text
+    moves; more are joined with the texts by a shuffle.
+    """
+    good = labels.where(F.col("good") & ~held_out()).select(F.col("doc_id").cast("long").alias("trusted_id"))
+    good = common.stored(good, "quality-trusted")
+    if good.count() <= broadcast_ids:
+        good = F.broadcast(good)
     joined = docs.join(good, docs["doc_id"] == good["trusted_id"], "left").withColumn("h", hashes(F.col("text")))
     flagged = joined.select(F.col("trusted_id").isNotNull().cast("long").alias("t"), F.explode(cells(F.col("h"))).alias("cell"))
     counted = flagged.groupBy("cell").agg(F.count("*").alias("raw"), F.sum("t").alias("trusted"))

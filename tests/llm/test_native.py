@@ -14,6 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from millrace.llm import quality, secrets, urls
+from millrace.llm.common import table
 
 WORD = re.compile("[^\x20\x09-\x0D]+")
 
@@ -137,13 +138,6 @@ def ruled(host, path):
     return (best.text, best.verdict) if best else (None, None)
 
 
-def java_hash(number, parts):
-    h = xxhash_int(number, 42)
-    for part in parts:
-        h = xxhash.xxh64_intdigest(part.encode(), seed=h)
-    return h
-
-
 def xxhash_int(value, seed):
     return xxhash.xxh64_intdigest((value & 0xFFFFFFFF).to_bytes(4, "little"), seed=seed)
 
@@ -298,6 +292,12 @@ def test_all_good_documents_are_trusted(spark):
     assert {r.doc_id: r.score for r in second.collect()} == pytest.approx(wanted, abs=1e-12)
 
 
+def test_more_trusted_ids_than_a_task_may_hold(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), quality.label_table(table(spark, sf_dir, "labels"))
+    told = [quality.weights(docs, labels, broadcast_ids=n).collect() for n in (0, 10**6)]
+    assert told[0] == told[1]
+
+
 def test_a_few_wrong_labels_do_not_move_the_threshold(spark):
     pick = random.Random(9)
     rows = [(n, False, (-1 if n % 4 == 0 else 1) + pick.uniform(-0.3, 0.3)) for n in range(4000)]
