@@ -7,17 +7,17 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.stopwords import ENGLISH
 from millrace.operators import edits as e
-from millrace.operators import service
+from millrace.operators import numbering, service
 from millrace.operators import words as w
 from millrace.plans import text
 from millrace.plans.sql import SPACE, half_up, quoted
 from millrace.sources import scratch, tables, topics
-from millrace.streaming import fanout, run
+from millrace.streaming import fanout, heavy, run
 
 
 def _edits(spark, sf):
@@ -252,6 +252,24 @@ def edits_per_user_kept(spark, sf):
     return _kept_after_restart(spark, sf, "per_user")
 
 
+def heavy_users_stream(spark, sf):
+    """The most active users from counters of fixed size, held against the exact totals of the same reading."""
+    edits = _delivered(spark, sf)
+    report = e.REPORTS["per_user"]
+    answers = {
+        "heavy": heavy.Heavy(lambda rows: e.partial(rows, report), report.keys, counters=40),
+        "exact": e.kept(report, buckets=4),
+    }
+    found = fanout.drain(edits, answers, scratch.new_path(spark, "answers"))
+    counters = found["heavy"].where("not whole")
+    lacking = found["heavy"].where("whole").select("at_most").scalar()
+    top = e.most_active(found["exact"], 10)
+    same = [top[key].eqNullSafe(counters[key]) for key in report.keys]
+    told = top.join(counters, reduce(Column.__and__, same), "left").select(*[top[key] for key in report.keys], "edits", "at_least", "at_most")
+    within = (F.coalesce("at_least", F.lit(0)) <= F.col("edits")) & (F.col("edits") <= F.coalesce("at_most", lacking))
+    return told.select(*report.keys, "edits", within.alias("within_bounds"))
+
+
 def clean_lines_totals_stream(spark, sf):
     """Messages read, lines written and top words of a topic of lines in eight deliveries, beside the cleaned lines."""
     topic = scratch.new_path(spark, "topic")
@@ -276,6 +294,11 @@ def usage_with_total(spark, sf):
     return service.usage_with_total(tables.usage(spark, sf))
 
 
+def usage_with_total_placed(spark, sf):
+    """The report with the place of each row: namespaces and names in order, the total last."""
+    return numbering.number_rows(usage_with_total(spark, sf), "place", ["is_total", "namespace", "name"])
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -315,9 +338,11 @@ QUERIES = {
         edits_answers_stream,
         edits_per_page_kept,
         edits_per_user_kept,
+        heavy_users_stream,
         clean_lines_totals_stream,
         service_availability,
         usage_with_total,
+        usage_with_total_placed,
     )
 }
 
@@ -428,6 +453,14 @@ def _body(sql: str) -> str:
 
 _WINDOW = "concat_ws('|', CAST(epoch(window_start) AS BIGINT), CAST(epoch(window_end) AS BIGINT), {})"
 
+_USAGE = r"""WITH u AS (
+            SELECT event_type AS namespace, 'pod-' || regexp_extract(props, '(\d+)', 1) AS name,
+                   CAST(round(value) AS BIGINT) AS cpu, CAST(regexp_extract(props, '(\d+)', 1) AS BIGINT) AS memory
+            FROM events)
+        SELECT namespace, name, CAST(grouping(name) AS INTEGER) AS is_total,
+               CAST(sum(cpu) AS BIGINT) AS cpu_millicores, CAST(sum(memory) AS BIGINT) AS memory_mib
+        FROM u GROUP BY GROUPING SETS ((namespace, name), ())"""
+
 ORACLE = {
     "edits_parse": _EDITS + _ALL,
     "edits_rejects": "SELECT left(props, length(props) - 1) AS raw FROM events WHERE event_type = 'error'",
@@ -487,6 +520,8 @@ ORACLE = {
             _long_sql("per_user", "SELECT * FROM users", "concat_ws('|', wiki, \"user\", bot)", edits="edits"),
         ]
     ),
+    "heavy_users_stream": _EDITS
+    + 'SELECT *, true AS within_bounds FROM (SELECT * FROM users ORDER BY edits DESC, wiki, "user", bot LIMIT 10)',
     "edits_per_page_kept": _EDITS + "SELECT * FROM page_totals",
     "edits_per_user_kept": _EDITS + "SELECT * FROM users",
     "clean_lines_totals_stream": f"""SELECT kind, item, n FROM ({text.ORACLE["clean_lines_summary"]})
@@ -502,11 +537,8 @@ ORACLE = {
         UNION ALL SELECT 'failures', 'all', count(*) FILTER (failed) FROM r
         UNION ALL SELECT 'version', version, count(*) FROM r WHERE version IS NOT NULL GROUP BY version
         UNION ALL SELECT 'pod', pod, count(*) FROM r WHERE pod IS NOT NULL GROUP BY pod""",
-    "usage_with_total": r"""WITH u AS (
-            SELECT event_type AS namespace, 'pod-' || regexp_extract(props, '(\d+)', 1) AS name,
-                   CAST(round(value) AS BIGINT) AS cpu, CAST(regexp_extract(props, '(\d+)', 1) AS BIGINT) AS memory
-            FROM events)
-        SELECT namespace, name, CAST(grouping(name) AS INTEGER) AS is_total,
-               CAST(sum(cpu) AS BIGINT) AS cpu_millicores, CAST(sum(memory) AS BIGINT) AS memory_mib
-        FROM u GROUP BY GROUPING SETS ((namespace, name), ())""",
+    "usage_with_total": _USAGE,
+    "usage_with_total_placed": "SELECT *, row_number() OVER (ORDER BY is_total, namespace NULLS FIRST, name NULLS FIRST) AS place FROM ("
+    + _USAGE
+    + ")",
 }

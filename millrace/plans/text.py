@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import text as t
 from millrace.functions.stopwords import BY_LANGUAGE, ENGLISH, FRENCH
-from millrace.operators import fingerprints
+from millrace.operators import fingerprints, numbering
 from millrace.operators import words as w
 from millrace.plans.sql import SPACE, quoted
 from millrace.session import settings
@@ -59,6 +59,11 @@ def word_count_alpha(spark, sf):
     return w.alphabetical(word_count(spark, sf))
 
 
+def word_count_alpha_placed(spark, sf):
+    """Words in alphabetical order with their places."""
+    return numbering.number_rows(word_count(spark, sf), "place", ["word"])
+
+
 def word_top20(spark, sf):
     return w.most_frequent(word_count(spark, sf), 20)
 
@@ -152,6 +157,7 @@ QUERIES = {
         word_count,
         word_count_late_clean,
         word_count_alpha,
+        word_count_alpha_placed,
         word_top20,
         word_count_equivalence,
         vocab_join,
@@ -240,6 +246,7 @@ ORACLE = {
     "word_count": _COUNTED,
     "word_count_late_clean": _COUNTED,
     "word_count_alpha": _COUNTED + " ORDER BY word",
+    "word_count_alpha_placed": f"SELECT *, row_number() OVER (ORDER BY word) AS place FROM ({_COUNTED})",
     "word_top20": _COUNTED + " ORDER BY n DESC, word LIMIT 20",
     "word_count_equivalence": "WITH"
     + _TOKENS.format(text="text", table="documents")

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.sources import scratch
+from millrace.streaming.heavy import Heavy
 from millrace.streaming.totals import Totals
 
 
@@ -56,7 +57,7 @@ class Appended:
         return spark.read.schema(schema).parquet(*[f"{path}/{n}" for n in whole]) if whole else spark.createDataFrame([], schema)
 
 
-Answer = Kept | Appended
+Answer = Kept | Appended | Heavy
 
 
 def start(stream: DataFrame, answers: Mapping[str, Answer], path: str, drain: bool = True) -> StreamingQuery:

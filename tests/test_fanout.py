@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from collections import Counter
 
 import pytest
 from helpers import rows
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from millrace.operators import edits as e
 from millrace.sources import scratch, topics
 from millrace.streaming import fanout, run
+from millrace.streaming.heavy import Heavy
 from millrace.streaming.totals import Totals
 from test_edits import NOON, edits as as_edits, message, topic as as_topic
 from test_streaming import publish
@@ -143,3 +145,34 @@ def test_an_empty_topic_has_empty_answers(spark, tmp_path):
     found = fanout.drain(stream(spark, str(tmp_path / "topic")), answers(), str(tmp_path / "out"))
     assert all(rows(frame) == [] for frame in found.values())
     assert e.parse(as_topic(spark)).count() == 0
+
+
+def test_counters_keep_their_bounds(spark, tmp_path):
+    """A key with a third of the rows, a long tail, and keys that come late."""
+    keys = [["hot"] * 40 + [f"t{n * 40 + i}" for i in range(60)] + [f"w{i % 4}" for i in range(20 * (n > 2))] for n in range(6)]
+    schema = spark.createDataFrame([], "k string").schema
+    answer = Heavy(lambda rows: rows.groupBy("k").agg(F.count("*").alias("n")), ("k",), counters=8)
+    for n, batch in enumerate(keys):
+        frame = spark.createDataFrame([(k,) for k in batch], schema)
+        answer.take(frame, n, str(tmp_path / "h"))
+        answer.take(frame, n, str(tmp_path / "h"))
+    found = {r["k"]: r for r in answer.read(spark, str(tmp_path / "h"), schema).where("not whole").collect()}
+    [rest] = answer.read(spark, str(tmp_path / "h"), schema).where("whole").collect()
+    exact = Counter(k for batch in keys for k in batch)
+    assert rest["at_most"] <= sum(exact.values()) // 9 and len(found) <= 8
+    for k, n in exact.items():
+        low, high = (found[k]["at_least"], found[k]["at_most"]) if k in found else (0, rest["at_most"])
+        assert low <= n <= high
+    assert found["hot"]["at_least"] > 100
+    assert len([n for n in scratch.children(spark, str(tmp_path / "h")) if n.isdecimal()]) == 2
+
+
+def test_few_keys_are_counted_exactly(spark, tmp_path):
+    schema = spark.createDataFrame([], "k string").schema
+    answer = Heavy(lambda rows: rows.groupBy("k").agg(F.count("*").alias("n")), ("k",), counters=3)
+    assert rows(answer.read(spark, str(tmp_path / "h"), schema)) == []
+    for n in range(3):
+        answer.take(spark.createDataFrame([("a",), (None,), ("a",)], schema), n, str(tmp_path / "h"))
+    answer.take(spark.createDataFrame([], schema), 3, str(tmp_path / "h"))
+    found = answer.read(spark, str(tmp_path / "h"), schema).where("not whole").drop("whole")
+    assert rows(found) == [("a", 6, 6), (None, 3, 3)]
