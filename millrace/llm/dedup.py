@@ -19,7 +19,8 @@ Words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z. Null and empty texts
 are linked with nothing. Repeated rows fall into one class; rows that share an id but not the text are
 one document with the links of all its texts. Rows with a null id take the component
 of their class, which is null when no row of it has an id; they are kept in that case only. Further
-columns do not matter; an empty table gives an empty result.
+columns do not matter; an empty table gives an empty result. A text is hashed whole, however long: its words and
+the hashes of its shingles lie in memory at one time.
 """
 
 from __future__ import annotations

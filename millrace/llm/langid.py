@@ -9,7 +9,8 @@ Of every sampled document a short passage is learned too, since short texts are
 Every language that labels a document is learned, so the model's size goes with their number. Documents with a null id are never
 held out; null texts and texts without a letter are ``und`` with score 0, as is everything when there
 are no labels. Ties go to the language first by name. Results are by row: repeated rows and further
-columns do not matter, an empty table gives an empty result.
+columns do not matter, an empty table gives an empty result. Long texts are counted whole, into as many numbers as
+there are features; their code points lie in memory at one time.
 """
 
 from __future__ import annotations

@@ -13,7 +13,8 @@ third of all rows is ranked in ``RANGES`` groups and not in one.
 Null texts have size 0, a null source is a source like others (last in order), null ids and repeated
 rows are documents of their own; rows that agree in id and text are told apart at random, which
 leaves the result the same. Documents of size 0 take part in whole passes only. An empty table
-gives an empty result; a table without words gives targets of 0. Further columns do not matter.
+gives an empty result; a table without words gives targets of 0. Further columns do not matter. Of a long text only
+its size is used, which the program's memory grows with.
 """
 
 from __future__ import annotations

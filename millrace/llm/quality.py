@@ -11,7 +11,8 @@ others like them.
 Null and empty texts have no words and fail the base rules. Repeated rows are judged alike. Labels
 with null ids or values count for nothing; a document labelled more than once is good if its labels
 agree. Without held-out labels of both classes every document that passes the base rules is kept. Columns are taken by name
-and results have fixed names, so further columns do not matter. Empty tables give empty results.
+and results have fixed names, so further columns do not matter. Empty tables give empty results. Long texts are
+counted whole: the hashes of their words, pairs and windows lie in memory as arrays.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ HELD_OUT = 5  # one in so many labelled documents sets the threshold
 LEAST_WORDS = 50
 MOST_REPEATED = 50  # percent
 SYMBOLS = "#*$%&|<>"
-BROADCAST_IDS = 4_000_000  # trusted ids, 64 MB, that every task may hold
+BROADCAST_IDS = 2_000_000  # trusted ids that every task may hold, about 100 MB
 
 
 def _pairs(n: Column, width: int) -> Column:

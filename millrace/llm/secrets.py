@@ -14,7 +14,8 @@ join over the blocks of ``BLOCK`` code points they touch, as a semi join: a part
 and no pairs arise. The rows of a block are bounded by its length.
 
 Spans count code points, end exclusive. Null and empty texts have none. Rows with the same id and
-text are worked on once and all get the result; null ids are ids like others. Further columns
+text are worked on once and all get the result; null ids are ids like others. Long texts are matched whole; what is
+found in them is dealt to blocks. Further columns
 do not matter; an empty table gives an empty result. Everything is DataFrame expressions.
 """
 

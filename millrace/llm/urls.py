@@ -11,7 +11,8 @@ ruled urls, which the models have not seen, by the mean of both error rates.
 
 Null urls and urls without ``://`` have an empty host and path and fit no rule; an empty or null url
 scores 0. Without ruled urls of both kinds all scores are 0 and the threshold is 0: allow. Repeated
-rows, further columns and an empty table need no care: each row is judged by its url alone.
+rows, further columns and an empty table need no care: each row is judged by its url alone. A long url is cut into
+n-grams whole, one row each.
 """
 
 from __future__ import annotations

@@ -12,7 +12,8 @@ to a folder that all executors share, through pyarrow's file systems.
 Payloads: null counts as empty. Page ids may be null (they sort last when a group's response is
 chosen) or repeated: rows that share the least id and the payload are all responses. Null urls are
 written as an empty header and read as null; control characters in urls are percent-encoded in the
-header and restored. An empty table gives no bundle and an empty result.
+header and restored. An empty table gives no bundle and an empty result. A payload lies in memory whole while its
+record is written or read, and is a frame of its own if it is longer than one. Further columns do not matter.
 """
 
 from __future__ import annotations

@@ -152,3 +152,17 @@ def test_odd_edits(spark, expected):
 def test_byte_order_of_kept_ids():
     assert sys.byteorder in ("little", "big")
     assert int.from_bytes((70000).to_bytes(4, sys.byteorder), sys.byteorder) == 70000
+
+
+def test_counts_of_documents_with_clashing_columns(spark):
+    names = "pre_chars pre_tokens n_tokens n_chars sums levels at found text_before t0 k1".split()
+    found = []
+    for clash in (False, True):
+        docs = edge.documents(spark, clash)
+        for name in names if clash else ():
+            docs = docs.withColumn(name, docs.source)
+        docs = docs.withColumn("edits", edits_of(docs.doc_id, docs.text, docs.source))
+        trees = token_counts.build(docs, PATH, PATTERN, keep=("doc_id", "edits"))
+        after = token_counts.apply_edits(trees, PATH, PATTERN, leaves=False).drop("edits")
+        found.append(edge.rows(after))
+    assert found[0] == found[1] and len(found[0]) == docs.count()

@@ -54,6 +54,15 @@ def test_round_trip(spark):
     assert index.count() == len(rows)
 
 
+def test_clashing_columns_change_nothing(spark):
+    frame = pages(spark)
+    clashing = frame
+    names = [*edge.CLASHES, *"bundle frame place record_type refers_to payload payload_digest payload_bytes digest first raw offset".split()]
+    for name in names:
+        clashing = clashing.withColumn(name, clashing.url)
+    assert read_back(warc.read(warc.write(clashing))) == read_back(warc.read(warc.write(frame)))
+
+
 def test_single_records_by_their_places(spark):
     frame = pages(spark).coalesce(1)
     index = warc.write(frame, frame_bytes=3000, bundle_bytes=2000)
