@@ -43,6 +43,7 @@ TREES, DEPTH = 32, 4
 HASHES = TREES * DEPTH
 REMEMBERED = 400_000  # word hashes of a worker
 BLOCK = 256
+BROADCAST_IDS = 1_000_000  # ids of cluster members that every task may hold, about 100 MB
 # Of 128 minima a pair of similarity 0.8 shares 102 with a deviation of 4.5: seven deviations less.
 LEAST_SHARED = 70
 
@@ -174,8 +175,12 @@ def links(sets: list[np.ndarray], sig: np.ndarray, side: np.ndarray | None) -> l
     return found
 
 
-def confirmed(docs: DataFrame, members: DataFrame, text: str, width: int) -> DataFrame:
-    """Links (``a``, ``b``) between representatives, confirmed on whole texts."""
+def confirmed(docs: DataFrame, members: DataFrame, text: str, width: int, broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
+    """Links (``a``, ``b``) between representatives, confirmed on whole texts.
+
+    Only members of clusters have their texts moved, as long as their ids, which are counted, are no more than
+    ``broadcast_ids``; with more all texts meet the ids in a shuffle.
+    """
     sizes = members.groupBy("root").agg(F.count("*").alias("n"))
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     dealt = members.join(sizes, "root").withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
@@ -184,6 +189,8 @@ def confirmed(docs: DataFrame, members: DataFrame, text: str, width: int) -> Dat
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.col(text).cast("string").alias("text"))
     # A representative's text is met once before it is dealt to the pairs of blocks of its cluster.
     wanted = members.select("node", "set_hash").distinct()
+    if members.count() <= broadcast_ids:
+        wanted = F.broadcast(wanted)
     own = texts.withColumn("set_hash", F.xxhash64("text")).join(wanted, ["node", "set_hash"]).dropDuplicates(["node", "set_hash"])
     rows = keyed.join(own, ["node", "set_hash"])
 

@@ -105,6 +105,16 @@ def test_one_of_each_group_stays(spark):
     assert sorted((r.doc_id for r in stay.collect()), key=repr) == sorted({r.doc_id for r in kept}, key=repr)
 
 
+def test_more_members_than_a_task_may_hold(spark):
+    """The way taken beyond the bound finds the same links."""
+    docs = spark.createDataFrame([(i, edge.passage(60, i // 3) + " x" * (i % 3)) for i in range(30)], "doc_id long, text string")
+    sets = dedup.measured(docs, "text", 4).where("set_id is not null")
+    classes = sets.selectExpr("doc_id as rep", "set_id", "sig", "text_hash as set_hash")
+    members = dedup.clusters(classes).join(classes.withColumnRenamed("rep", "node"), "node").select("node", "root", "sig", "set_hash")
+    found = [edge.rows(dedup.confirmed(docs, members, "text", 4, n)) for n in (0, 1000)]
+    assert found[0] == found[1] and found[0]
+
+
 def test_no_documents(spark):
     assert dedup.near_duplicates(edge.empty(spark)).count() == 0
     assert dedup.deduplicated(edge.empty(spark)).count() == 0
