@@ -17,7 +17,7 @@ Repeated rows and further columns do not matter; an empty table gives an empty r
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -131,11 +131,11 @@ def build(docs: DataFrame, path: str, pattern: str, text: str = "text", keep: Se
                     size += len(texts[to] or "")
                     to += 1
                 cut = [own.cut(t or "") for t in texts[at:to]]
-                known = {p: len(ids) // 4 for p, ids in own._known({p for pieces in cut for p in pieces}).items()}
+                known = {p: len(ids) // 4 for p, ids in own._known(set().union(*cut)).items()}
                 ends = pa.array([0, *accumulate(map(len, cut))], pa.int32())
                 total = ends[-1].as_py()
-                chars = np.fromiter((n for pieces in cut for n in map(len, pieces)), np.int32, total)
-                tokens = np.fromiter((n for pieces in cut for n in map(known.__getitem__, pieces)), np.int32, total)
+                chars = np.fromiter(map(len, chain.from_iterable(cut)), np.int32, total)
+                tokens = np.fromiter(map(known.__getitem__, chain.from_iterable(cut)), np.int32, total)
                 sums = np.concatenate([[0], np.cumsum(tokens, dtype=np.int64)])[ends.to_numpy()]
                 yield pa.RecordBatch.from_arrays(
                     [
