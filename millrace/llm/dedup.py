@@ -1,12 +1,10 @@
-"""Near duplicates: MinHash signatures in bands of fixed depth, confirmed on whole shingle sets.
+"""Near duplicates: an LSH forest of MinHash signatures, confirmed on whole shingle sets.
 
 A document's set holds the 64-bit hashes of its word shingles. Documents with equal sets form a
-class, and only a class's representative (its least id) goes on. A signature has ``TREES * DEPTH``
-minima. Each tree is one order of it, starting at another place; documents that share the first
-``DEPTH`` minima of an order, a band, are a region of that tree, however many there are. No order is
-sorted and no depth adapts to a region: deeper prefixes only order pairs. Every region
-ties its members to its least one, and the components of these ties are the clusters: all pairs
-that share a region lie within one cluster.
+class, and only a class's representative (its least id) goes on. ``forest.py`` sorts the signatures in
+``TREES`` orders and takes neighbours by longest common prefix, at a depth that adapts to how crowded a region
+is; its ties, and those between components that share a crowded region, make clusters: all pairs
+that agree in the first ``DEPTH`` minima of an order, and in enough of a sketch, lie within one cluster.
 
 Within a cluster the pairs that share a region are taken by the longest prefix that any tree's order
 gives them in common (up to four times ``DEPTH``), from deep to shallow. A pair
@@ -34,13 +32,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm import common
+from millrace.llm import common, forest
+from millrace.llm.forest import DEPTH, HASHES, TREES
 from millrace.llm.graph import components
 
 WORDS = 5
 SIMILARITY = (4, 5)  # at least 4/5
-TREES, DEPTH = 32, 4
-HASHES = TREES * DEPTH
 REMEMBERED = 400_000  # word hashes of a worker
 BLOCK = 256
 BROADCAST_IDS = 1_000_000  # ids of cluster members that every task may hold, about 100 MB
@@ -114,17 +111,9 @@ def measured(docs: DataFrame, text: str = "text", width: int = WORDS) -> DataFra
     return common.stored(rows.mapInArrow(work, _MEASURED), "dedup-sets")
 
 
-def clusters(classes: DataFrame) -> DataFrame:
-    """``node`` and ``root`` of the representatives that share a region of some tree with another."""
-    prefix = 2 * DEPTH
-    keys = F.array(*[F.xxhash64(F.lit(t), F.substring("sig", prefix * t + 1, prefix)) for t in range(TREES)])
-    placed = classes.select("rep", F.explode(keys).alias("region"))
-    least = placed.groupBy("region").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a <> z").select("region", "a")
-    # A member of up to TREES regions is tied to the least of their least ones, and that one to the others.
-    # Large groups have few least ones, so that these ties are about one for each member.
-    tied = placed.join(least, "region").groupBy("rep").agg(F.collect_set("a").alias("least"))
-    ties = tied.select(F.array_min("least").alias("a"), F.explode(F.array_union("least", F.array("rep"))).alias("b"))
-    return components(ties.where("a <> b").distinct())
+def clusters(classes: DataFrame, size: str | None = None) -> DataFrame:
+    """``node`` and ``root`` of the representatives that may be similar to another, by the forest."""
+    return forest.clusters(classes, size)
 
 
 def _depths(same: np.ndarray) -> np.ndarray:
@@ -214,10 +203,10 @@ def near_duplicates(docs: DataFrame, text: str = "text", width: int = WORDS) ->
     some = sets.where("set_id is not null")
     least = some.where("doc_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("rep"))
     # The row of the representative has the class's signature; it is met by its own id, not by the class.
-    own = some.select(F.col("set_id").alias("s"), F.col("doc_id").alias("d"), "sig", F.col("text_hash").alias("set_hash"))
-    met = least.join(own, (F.col("set_id") == F.col("s")) & (F.col("rep") == F.col("d"))).select("set_id", "rep", "sig", "set_hash")
+    own = some.select(F.col("set_id").alias("s"), F.col("doc_id").alias("d"), "sig", "n_shingles", F.col("text_hash").alias("set_hash"))
+    met = least.join(own, (F.col("set_id") == F.col("s")) & (F.col("rep") == F.col("d"))).select("set_id", "rep", "sig", "n_shingles", "set_hash")
     classes = common.stored(met.dropDuplicates(["set_id"]), "dedup-classes")
-    roots = clusters(classes)
+    roots = clusters(classes, "n_shingles")
     members = common.stored(
         roots.join(classes.withColumnRenamed("rep", "node"), "node").select("node", "root", "sig", "set_hash"), "dedup-members"
     )
