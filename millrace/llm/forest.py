@@ -5,7 +5,7 @@ at minimum ``DEPTH * t``; all orders are sorted at once, by a range partition an
 A region is a run of one order whose first minima agree: the first ``DEPTH`` of them, and one more, up to
 ``2 * DEPTH``, wherever a run has more than ``Bounds.region`` rows. The rows of a region are each other's
 neighbours by longest common prefix, and so candidates; those still too many at the greatest depth are taken
-in overlapping windows of the order.
+in windows of the order. Near rows of a region are tied to one of them, and the regions of a run by those rows.
 
 Candidates are compared by a sketch, one bit of each minimum, and the size of their sets. A pair of similarity 0.8
 agrees in 115 of 128 bits with a deviation of 3.4; ``MOST_DIFFERENT`` is almost nine deviations from that, and unrelated
@@ -126,26 +126,42 @@ def regions(rows: dict[str, np.ndarray], most: int) -> tuple[np.ndarray, np.ndar
     return group, starts, sizes
 
 
+def hubs(rows: dict[str, np.ndarray], most: int) -> np.ndarray:
+    """For the rows of one run, the place of a row that each is tied to: regions first, then the rows they are tied to, in windows."""
+    group = regions(rows, most)[0]
+    own, active = np.arange(len(group)), np.arange(len(group))
+    # A region is one window, or several where it is crowded at the greatest depth.
+    windows = [w for g in np.split(active, np.flatnonzero(np.diff(group)) + 1) for w in np.split(g, range(most, len(g), most))]
+    while True:
+        for at in windows:
+            window = taken(rows, at)
+            own[at] = at[labels(near({n: c[:, None] for n, c in window.items()}, {n: c[None, :] for n, c in window.items()}))]
+        before, active = len(active), active[own[active] == active]
+        if len(windows) == 1 or len(active) == before:
+            break
+        windows = np.split(active, range(most, len(active), most))
+    while (own[own] != own).any():
+        own = own[own]
+    return own
+
+
 def ties(rows: dict[str, np.ndarray], bounds: Bounds) -> tuple[np.ndarray, np.ndarray]:
-    """Places of two rows each, which connect the near pairs of every region of a sorted stretch of orders."""
-    group, starts, sizes = regions(rows, bounds.region)
-    run = _groups(_begins(rows["tree"], rows["first"]))[0]
-    found: list[tuple[np.ndarray, np.ndarray]] = []
-    few = sizes[group] <= bounds.small
-    for k in range(1, min(max(bounds.small, 2), len(group))):
-        # The next one in the order is a neighbour wherever it is in the same run, also beyond the region.
-        both = (run[k:] == run[:-k]) if k == 1 else (group[k:] == group[:-k]) & few[k:]
-        at = np.flatnonzero(both)
+    """Pairs of ``rep`` that connect the near pairs of every region of a sorted stretch of orders, the lesser first."""
+    run, starts, sizes = _groups(_begins(rows["tree"], rows["first"]))
+    rep, found = rows["rep"], [np.zeros((2, 0), np.int64)]
+    few = sizes[run] <= bounds.small
+    for k in range(1, min(bounds.small, len(run))):
+        at = np.flatnonzero((run[k:] == run[:-k]) & few[k:])
         at = at[near(taken(rows, at), taken(rows, at + k))]
-        found.append((at, at + k))
+        found.append(np.sort([rep[at], rep[at + k]], axis=0))
     for g in np.flatnonzero(sizes > bounds.small).tolist():
-        for begin in range(0, max(1, sizes[g] - 1), bounds.region - 1):
-            at = np.arange(starts[g] + begin, starts[g] + min(begin + bounds.region, sizes[g]))
-            window = taken(rows, at)
-            own = labels(near({n: c[:, None] for n, c in window.items()}, {n: c[None, :] for n, c in window.items()}))
-            tied = np.flatnonzero(own != np.arange(len(own)))
-            found.append((at[own[tied]], at[tied]))
-    return tuple(np.concatenate(side) if found else np.zeros(0, np.int64) for side in (list(zip(*found, strict=True)) or ([], [])))
+        part = taken(rows, slice(starts[g], starts[g] + sizes[g]))
+        own, least = hubs(part, bounds.region), part["rep"].copy()
+        # The least member stands for the others, so that it is the same one in most trees.
+        np.minimum.at(least, own, part["rep"])
+        some = least[own] != part["rep"]
+        found.append(np.stack([least[own][some], part["rep"][some]]))
+    return tuple(np.concatenate(found, axis=1))
 
 
 def _run_ids(rows: dict[str, np.ndarray]) -> np.ndarray:
@@ -163,8 +179,8 @@ def _found(rows: dict[str, np.ndarray], cut: list[tuple], bounds: Bounds) -> pa.
     blank, none = np.zeros(len(a), np.int64), np.zeros(len(members["rep"]), np.int64)
     is_tie = np.repeat([True, False], [len(a), len(none)])
     columns = [
-        pa.array(np.concatenate([rows["rep"][a], members["rep"]])),
-        pa.array(np.concatenate([rows["rep"][b], none]), mask=~is_tie),
+        pa.array(np.concatenate([a, members["rep"]])),
+        pa.array(np.concatenate([b, none]), mask=~is_tie),
         pa.array(np.concatenate([blank, _run_ids(members)]), mask=is_tie),
         *[pa.array(np.concatenate([blank, members[name]]), mask=is_tie) for name in ("low", "high", "size")],
     ]
@@ -230,8 +246,10 @@ def clusters(classes: DataFrame, size: str | None = None, bounds: Bounds = BOUND
     order = ["tree", "first", "next", "rep"]  # the last one lets a place that many classes share spread over ranges
     sorted_orders = placed(classes, size).repartitionByRange(*order).sortWithinPartitions(*order)
     found = common.stored(sorted_orders.mapInArrow(partial(walk, bounds=bounds), _FOUND), "forest")
-    tied = found.where("run is null").select("a", "b").where("a <> b").distinct()
-    roots = components(tied)
+    # A row of several trees is tied to the least of its partners, and that one to the others.
+    tied = found.where("run is null").groupBy("b").agg(F.collect_set("a").alias("others"))
+    each = tied.select(F.array_min("others").alias("a"), F.explode(F.array_union("others", F.array("b"))).alias("b"))
+    roots = components(each.where("a <> b").distinct())
     more = common.stored(across(found.where("run is not null").drop("b"), roots, bounds.block), "forest-across")
     if more.isEmpty():
         return roots
