@@ -165,26 +165,27 @@ def strip_boilerplate(documents: DataFrame, text: str = "text") -> DataFrame:
     return documents.select("*", marked.alias("marked"), body.alias("body"))
 
 
-def strip_boilerplate_lines(lines: DataFrame, text: str = "value") -> DataFrame:
+def strip_boilerplate_lines(lines: DataFrame, text: str = "value", book: Sequence[str] = ("file",)) -> DataFrame:
     """The same for files read line by line (see ``sources.files.read_numbered_lines``).
 
-    Marker positions are found with one small aggregate per file, then each line is compared
-    with those of its file. Lines of a file without both markers are all kept.
+    Marker positions are found with one small aggregate per book, then each line is compared
+    with those of its book. Lines of a book without both markers are all kept. ``book`` names the columns that tell
+    books apart, none of them null: a file is one book unless they say more.
     """
     position = F.struct("block", "seq")
     line = F.col(text)
-    markers = lines.groupBy("file").agg(
+    markers = lines.groupBy(*book).agg(
         F.min(F.when(F.startswith(line, F.lit(t.START_MARKER)), position)).alias("start"),
         F.min(F.when(F.startswith(line, F.lit(t.END_MARKER)), position)).alias("end"),
     )
     inside = (position > F.col("start")) & (position < F.col("end"))
     unmarked = F.col("start").isNull() | F.col("end").isNull()
-    return lines.join(markers, "file").where(unmarked | inside).drop("start", "end")
+    return lines.join(markers, list(book)).where(unmarked | inside).drop("start", "end")
 
 
-def number_lines(lines: DataFrame) -> DataFrame:
-    """Lines of files with their number in the file, from 0 (``line_no``), in the order of block and sequence."""
-    order = Window.partitionBy("file").orderBy("block", "seq")
+def number_lines(lines: DataFrame, book: Sequence[str] = ("file",)) -> DataFrame:
+    """Lines of books with their number in the book, from 0 (``line_no``), in the order of block and sequence."""
+    order = Window.partitionBy(*book).orderBy("block", "seq")
     return lines.withColumn("line_no", F.row_number().over(order) - 1)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,6 +66,29 @@ def read_numbered_lines(spark: SparkSession, path: str, line_end: str | None = N
     )
 
 
+def write_books(books: DataFrame, path: str) -> None:
+    """Texts (``doc_id``, ``text``) as text files of many books each, in the order of their ids.
+
+    Each line carries the number of its book before a tab; a null number is empty, a null text is one empty line.
+    """
+    number = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("\t"))
+    text = F.coalesce("text", F.lit(""))
+    numbered = F.concat(number, F.replace(text, F.lit("\n"), F.concat(F.lit("\n"), number)))
+    books.sortWithinPartitions("doc_id").select(numbered.alias("value")).write.option("lineSep", "\n").text(path)
+
+
+def book_lines(lines: DataFrame) -> DataFrame:
+    """Lines of ``write_books``, as ``read_numbered_lines`` reads them, with the text before the tab apart (``book``)."""
+    tab = F.locate("\t", F.col("value"))
+    line = F.substring("value", tab + 1, F.length("value"))
+    return lines.withColumns({"book": F.substring_index("value", "\t", 1), "value": line})
+
+
+def book_id(book: str) -> Column:
+    """The number that ``write_books`` was given, from the text that ``book_lines`` found."""
+    return F.nullif(F.col(book), F.lit("")).cast("long")
+
+
 def read_trips(spark: SparkSession, path: str) -> DataFrame:
     """Trip records from Parquet; fails early when a needed column is missing or of another kind."""
     trips = spark.read.parquet(path)

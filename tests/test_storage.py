@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from millrace.operators import fingerprints as fp
 from millrace.operators import words as w
+from millrace.plans import text
 from millrace.session import settings
-from millrace.sources import files, partitioned
+from millrace.sources import files, partitioned, scratch
 
 TIMED = "id int, at timestamp_ntz"
 
@@ -117,6 +118,29 @@ def test_lines_of_a_book_read_in_small_splits(spark, tmp_path):
     assert sorted((r["line_no"], r["value"]) for r in found if r["f"] == "b") == [(0, "no marks"), (1, "here")]
 
 
+def test_books_share_files(spark, tmp_path):
+    """Files do not grow with the books; splits cut through books, and each is cut by its own markers."""
+    long = "\n".join(f"line {i}\tof it\r" for i in range(4000))
+    texts = {n: ("de", "\n\tx\n\n") if n % 9 == 0 else ("en", f"a{n}\n*** END early\nb") if n % 9 == 1 else ("fr", f"c\n{n}") for n in range(300)}
+    texts |= {400: ("en", long), 401: ("de", None), 402: ("en", None), None: ("en", "no number")}
+    books = spark.createDataFrame([(n, *row) for n, row in texts.items()], "doc_id long, lang string, text string")
+    books.coalesce(2).write.parquet(str(tmp_path / "documents.parquet"))
+    before = {n for n in scratch.children(spark, scratch.shared_root(spark)) if n.startswith("books-")}
+    found = text.strip_boilerplate_files(spark, str(tmp_path))
+    want = []
+    for n, (lang, body) in texts.items():
+        lines = [""] if body is None else body.split("\n")
+        if lang != "de":
+            lines = [] if body is None else lines[: next((i for i, x in enumerate(lines) if x.startswith("*** END")), None)]
+        want += [(n, i, x) for i, x in enumerate(lines)]
+    assert rows(found) == sorted(want, key=repr)
+    [made] = {n for n in scratch.children(spark, scratch.shared_root(spark)) if n.startswith("books-")} - before
+    assert len(scratch.children(spark, f"{scratch.shared_root(spark)}/{made}")) <= 20
+    with settings(spark, spark__sql__files__openCostInBytes="16k", spark__sql__files__minPartitionNum="200"):
+        lines = files.book_lines(files.read_numbered_lines(spark, f"{scratch.shared_root(spark)}/{made}", "\n"))
+        assert lines.where("book = '400'").select("block").distinct().count() > 1
+
+
 def test_settings_come_back(spark):
     key, new = "spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes.test"
     before = spark.conf.get(key)
