@@ -177,7 +177,7 @@ def _delivered(spark, sf):
     """Edits of a topic in ten deliveries, some messages late; a stream of one delivery per micro-batch."""
     topic = scratch.new_path(spark, "topic")
     tables.deliver(spark, sf, topic)
-    return e.parse(topics.read_topic(spark, path=topic, max_files_per_trigger=1))
+    return e.parse(topics.read_topic(spark, path=topic, max_files_per_trigger=tables.files_per_delivery(spark, sf)))
 
 
 LATENESS = "1 hour"
@@ -239,7 +239,8 @@ def _kept_after_restart(spark, sf, name):
     answers = {name: e.kept(e.REPORTS[name], buckets=4)}
     for part in (range(3), range(3, tables.DELIVERIES)):
         tables.deliver(spark, sf, topic, part)
-        edits = e.parse(topics.read_topic(spark, path=topic, max_files_per_trigger=2))
+        files = 2 * tables.files_per_delivery(spark, sf)
+        edits = e.parse(topics.read_topic(spark, path=topic, max_files_per_trigger=files))
         found = fanout.drain(edits, answers, path)
     return found[name]
 
@@ -271,16 +272,20 @@ def heavy_users_stream(spark, sf):
 
 
 def clean_lines_totals_stream(spark, sf):
-    """Messages read, lines written and top words of a topic of lines in eight deliveries, beside the cleaned lines."""
+    """Messages read, lines written and top words of a topic of lines in eight deliveries, beside the cleaned lines.
+
+    A delivery is one micro-batch, of so many files that none is large.
+    """
     topic = scratch.new_path(spark, "topic")
     lines = w.text_lines(tables.documents(spark, sf), "text", ["doc_id"]).withColumnRenamed("line", "value")
+    files = tables.files_per_delivery(spark, sf, "documents", 8)
     for n in range(8):
-        topics.publish(lines.where(F.pmod("doc_id", F.lit(8)) == n).coalesce(1), path=topic)
+        topics.publish(lines.where(F.pmod("doc_id", F.lit(8)) == n), path=topic, files=files)
     answers = {
         "lines": fanout.Appended(w.clean_lines),
         "totals": fanout.Kept(w.line_items, ("item",), {"n": "sum"}, w.lines_report, buckets=4),
     }
-    stream = topics.read_topic(spark, path=topic, max_files_per_trigger=1)
+    stream = topics.read_topic(spark, path=topic, max_files_per_trigger=files)
     found = fanout.drain(stream, answers, scratch.new_path(spark, "answers"))
     written = found["lines"].agg(F.lit("check").alias("kind"), F.lit("lines in the output").alias("item"), F.count("*").alias("n"))
     return found["totals"].unionByName(written)

@@ -51,6 +51,12 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(jpath)] if fs.exists(jpath) else []
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of a file, or of all files below a directory."""
+    jpath, fs = _file_system(spark, path)
+    return fs.getContentSummary(jpath).getLength()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     jpath, fs = _file_system(spark, path)
     fs.delete(jpath, True)

@@ -7,6 +7,7 @@ nations and boroughs are regions. An edit is an event; its message is JSON text.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -211,11 +212,20 @@ def delivery() -> Column:
     return F.least(own + late, F.lit(DELIVERIES - 1))
 
 
+# Bytes of a table that a file of a delivery stands for. An event becomes a message of many times its stored size.
+FILE_BYTES = {"events": 1 << 20, "documents": 16 << 20}
+
+
+def files_per_delivery(spark: SparkSession, sf_dir: str, name: str = "events", deliveries: int = DELIVERIES) -> int:
+    """How many files each delivery of a table has, the same for all of them; they grow in number, not in size."""
+    return max(1, math.ceil(scratch.size(spark, f"{sf_dir}/{name}.parquet") / deliveries / FILE_BYTES[name]))
+
+
 def deliver(spark: SparkSession, sf_dir: str, path: str, deliveries: Iterable[int] = range(DELIVERIES)) -> None:
-    """Append edit messages to a topic, one delivery after the other; each is a file, as a producer's flush would be."""
-    events = table(spark, sf_dir, "events")
+    """Append edit messages to a topic, one delivery after the other; each is as many files, as producers' flushes would be."""
+    events, files = table(spark, sf_dir, "events"), files_per_delivery(spark, sf_dir)
     for n in deliveries:
-        topics.publish(as_messages(events.where(delivery() == n)).coalesce(1), path=path)
+        topics.publish(as_messages(events.where(delivery() == n)), path=path, files=files)
 
 
 # --- service log ----------------------------------------------------------------------------

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.sources import scratch
+
 MESSAGE_SCHEMA = T.StructType([T.StructField("value", T.StringType())])
 
 
@@ -57,12 +59,31 @@ def as_json(rows: DataFrame) -> DataFrame:
     return rows.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
 
 
-def publish(messages: DataFrame, *, path: str | None = None, kafka: Mapping[str, str] | None = None) -> None:
-    """Append messages (column ``value``) to a topic, from all executors at once."""
+def publish(
+    messages: DataFrame, *, path: str | None = None, kafka: Mapping[str, str] | None = None, files: int | None = None
+) -> None:
+    """Append messages (column ``value``) to a topic, from all executors at once.
+
+    With ``files`` a directory gets exactly so many, of about equal size, however few the messages are: a stream that
+    takes so many per trigger then has one delivery per micro-batch.
+    """
     if (path is None) == (kafka is None):
         raise ValueError("give either path or kafka")
     value = messages.select("value")
     if kafka is not None:
         value.write.format("kafka").options(**kafka).save()
-    else:
-        value.select(F.col("value").cast("string")).write.mode("append").parquet(path)
+        return
+    value = value.select(F.col("value").cast("string"))
+    if files is None:
+        value.write.mode("append").parquet(path)
+        return
+    spark = messages.sparkSession
+    before = len(_files(spark, path))
+    value.repartition(files).write.mode("append").parquet(path)
+    # A task without messages leaves no file.
+    for _ in range(files - (len(_files(spark, path)) - before)):
+        spark.createDataFrame([], MESSAGE_SCHEMA).write.mode("append").parquet(path)
+
+
+def _files(spark: SparkSession, path: str) -> list[str]:
+    return [name for name in scratch.children(spark, path) if not name.startswith(("_", "."))]

@@ -10,7 +10,9 @@ from helpers import rows
 from pyspark.sql import functions as F
 
 from millrace.operators import edits as e
-from millrace.sources import scratch, topics
+from millrace.plans import edits as plans
+from millrace.plans import text
+from millrace.sources import scratch, tables, topics
 from millrace.streaming import fanout, run
 from millrace.streaming.heavy import Heavy
 from millrace.streaming.totals import Totals
@@ -140,6 +142,54 @@ def test_late_groups_are_counted(spark, tmp_path):
     assert written == 2 + 1 + 2  # without the late one, and without the hour that is still open
 
 
+def topic_files(spark, path):
+    return [n for n in scratch.children(spark, path) if n.startswith("part-")]
+
+
+@pytest.mark.parametrize("n", [0, 2, 40])
+def test_a_delivery_has_so_many_files(spark, tmp_path, n):
+    """Also with fewer messages than files, or with none."""
+    sent = spark.range(n).select(F.col("id").cast("string").alias("value"))
+    for done in (1, 2):
+        topics.publish(sent, path=str(tmp_path / "t"), files=5)
+        assert len(topic_files(spark, str(tmp_path / "t"))) == 5 * done
+    assert topics.read_topic(spark, path=str(tmp_path / "t"), stream=False).count() == 2 * n
+
+
+def test_deliveries_of_many_files_are_batches(spark, tmp_path, monkeypatch):
+    """Every delivery is one batch, whatever its files; no task writes a whole one."""
+    days = "timestamp'2024-01-01 00:00:00' + make_dt_interval(pmod(id * id, 27), 0, 0, id)"
+    made = spark.range(900).selectExpr(
+        "id as event_id", f"{days} as ts", "id % 7 as user_id", "'view' as event_type", "double(id % 90) as value", """'{"k": 3}' as props"""
+    )
+    made.coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setitem(tables.FILE_BYTES, "events", 300)
+    files = tables.files_per_delivery(spark, str(tmp_path))
+    topic = str(tmp_path / "topic")
+    tables.deliver(spark, str(tmp_path), topic)
+    assert files > 1 and len(topic_files(spark, topic)) == files * tables.DELIVERIES
+    want = {r[0]: r[1] for r in made.groupBy(tables.delivery()).count().collect()}
+    late = plans.edits_late_groups(spark, str(tmp_path))
+    assert dict(rows(late, "batch", "messages")) == want
+    sent = topics.read_topic(spark, path=topic, stream=False)
+    assert sent.count() == 900 and sent.groupBy(F.col("_metadata.file_path")).count().agg(F.max("count")).first()[0] < max(want.values())
+    assert rows(plans.edits_per_page_kept(spark, str(tmp_path))) == rows(plans.edits_per_page(spark, str(tmp_path)))
+
+
+def test_lines_delivered_in_many_files(spark, tmp_path, monkeypatch):
+    made = [(i, f"the word{i % 3} of {i}\n\nand" if i % 4 else None) for i in range(100)]
+    spark.createDataFrame(made, "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setitem(tables.FILE_BYTES, "documents", 100)
+    files = tables.files_per_delivery(spark, str(tmp_path), "documents", 8)
+    before = {n for n in scratch.children(spark, scratch.shared_root(spark)) if n.startswith("topic-")}
+    found = rows(plans.clean_lines_totals_stream(spark, str(tmp_path)))
+    [topic] = {n for n in scratch.children(spark, scratch.shared_root(spark)) if n.startswith("topic-")} - before
+    assert files > 1 and len(topic_files(spark, f"{scratch.shared_root(spark)}/{topic}")) == 8 * files
+    table = text.clean_lines_summary(spark, str(tmp_path))
+    written = text.clean_lines(spark, str(tmp_path)).count()
+    assert found == sorted([*rows(table), ("check", "lines in the output", written)], key=repr)
+
+
 def test_an_empty_topic_has_empty_answers(spark, tmp_path):
     (tmp_path / "topic").mkdir()
     found = fanout.drain(stream(spark, str(tmp_path / "topic")), answers(), str(tmp_path / "out"))
